@@ -1,0 +1,73 @@
+"""The whole build: histories, staging views, lifecycle, marts."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.plans import facts, indicators, lifecycle, staging
+from tidemark.sources.tables import latest_history, publish_history, publish_table, publish_view
+
+
+def refresh_histories(spark: SparkSession, raw: dict[str, DataFrame], root: str, loaded_at: datetime) -> dict[str, DataFrame]:
+    """Load the current customers and subscriptions into their histories; returns the new versions."""
+    loads = {"customers": staging.customer_history, "subscriptions": staging.subscription_history}
+    return {
+        name: publish_history(
+            load(raw[name], latest_history(spark, f"{root}/snapshots/{name}"), loaded_at),
+            f"{root}/snapshots/{name}",
+            loaded_at,
+        )
+        for name, load in loads.items()
+    }
+
+
+def stage(raw: dict[str, DataFrame], histories: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
+    """The six staged tables; lazy, nothing is computed."""
+    return {
+        "customers": staging.stage_customers(histories["customers"], as_of),
+        "subscriptions": staging.stage_subscriptions(histories["subscriptions"], as_of),
+        "billings": staging.stage_billings(raw["billings"]),
+        "support_contacts": staging.stage_support_contacts(raw["support_contacts"]),
+        "portal_events": staging.stage_portal_events(raw["portal_events"]),
+        "usage_daily": staging.stage_usage_daily(raw["usage_daily"]),
+    }
+
+
+def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date, loaded_at: datetime) -> dict[str, DataFrame]:
+    """Refresh everything under ``root``, a folder all executors reach, and return the marts as read back from it.
+
+    The lifecycle is written once: three marts and the base read it, and a lost executor costs none of them a
+    second run of its windows.
+    """
+    histories = refresh_histories(spark, raw, root, loaded_at)
+    staged = stage(raw, histories, as_of)
+    for name, df in staged.items():
+        publish_view(df, f"stg_{name}")
+
+    states = publish_table(
+        lifecycle.subscription_lifecycle(
+            staged["subscriptions"], sizing=staging.subscription_groups(histories["subscriptions"])
+        ),
+        f"{root}/intermediate/subscription_lifecycle",
+    )
+    publish_view(states, "int_subscription_lifecycle")
+    base = publish_view(lifecycle.indicator_base(states, as_of), "int_leading_indicator_base")
+
+    marts = {
+        "subscription_monthly": publish_table(
+            facts.subscription_monthly(states, as_of),
+            f"{root}/marts/subscription_monthly",
+            partition_by="activity_month",
+            sort_by=("subscription_id",),
+        ),
+        "churn_metrics": publish_table(facts.churn_metrics(states, as_of), f"{root}/marts/churn_metrics"),
+        "leading_indicator_scan": publish_table(
+            indicators.leading_indicator_scan(
+                base, staged["support_contacts"], staged["portal_events"], staged["billings"], staged["usage_daily"]
+            ),
+            f"{root}/marts/leading_indicator_scan",
+        ),
+    }
+    return marts
