@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Keeping work balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -9,10 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+TRACKED_ITEMS = 10_000
+
+
+def has_hot_key(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether some key (null included) has more than ``hot_rows`` rows and a share worth splitting.
+
+    One pass over the key columns with a frequent-items sketch of fixed size: nothing is shuffled but one sketch per
+    task. A key with over 0.05 % of the rows is always found. The answer picks a plan, it never changes a result.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    top = hashed.agg(F.expr(f"approx_top_k(h, 1, {TRACKED_ITEMS})").alias("top")).first().top
+    return bool(top) and top[0]["count"] > hot_rows
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys (null included) with more than ``hot_rows`` rows.
+    """Keys (null included) with more than ``hot_rows`` rows, exactly.
 
     There are fewer than rows / hot_rows of them whatever the data, so the result may be broadcast:
     10^12 rows give at most 10^6 keys.
@@ -38,15 +50,17 @@ def without_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS, sizing: DataFrame | None = None
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, sizing: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Equi join to a right side with one row per key; ``how`` is inner, left, left_semi or left_anti.
 
-    Rows of a hot left key stay where they are and meet a broadcast of the few right rows of hot keys, all others
-    take the ordinary join. Without hot keys AQE finds the broadcast empty and drops that branch. ``sizing`` may be
-    a cheaper frame to count the keys in: the counts steer the split only, never the result.
+    ``sizing`` has some or all of the key columns of the left rows, in a frame that is cheap to scan. If it shows no
+    hot key this is a plain join. Otherwise rows of hot left keys stay where they are and meet a broadcast of the
+    few right rows of these keys, and all others take the plain join.
     """
-    hot = hot_keys(left if sizing is None else sizing, keys, hot_rows)
+    if not has_hot_key(sizing, sizing.columns, hot_rows):
+        return left.join(right, keys, how)
+    hot = hot_keys(left, keys, hot_rows)
     spread = without_hot(left, hot, keys).join(right, keys, how)
     local = only_hot(left, hot, keys).join(F.broadcast(only_hot(right, hot, keys)), keys, how)
     return spread.unionByName(local)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.hot_keys import HOT_ROWS, hot_keys, only_hot, without_hot
+from tidemark.operators.hot_keys import HOT_ROWS, has_hot_key, hot_keys, only_hot, without_hot
 
 ID_SPAN = 1_000_000
 
@@ -16,45 +16,49 @@ def with_previous(
     day: str,
     row_id: str,
     values: list[str],
+    sizing: DataFrame,
     hot_rows: int = HOT_ROWS,
     id_span: int = ID_SPAN,
-    sizing: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``prev_<value>``: the value one row earlier within ``group``, ordered by day (nulls last), then row id.
 
-    ``row_id`` is unique. Groups of up to ``hot_rows`` rows use one plain window. A larger group is cut into blocks
-    of one day and ``id_span`` consecutive ids: the inner rows of a block are settled there, only its first and last
-    row go on to a window over the day, and only a day's first and last row to a window over the group. These
-    windows hold at most id_span rows, two per block, and two per day. The three levels share one shuffle of the
-    blocks; without large groups AQE finds the list of hot keys empty and drops them.
+    ``row_id`` is unique. ``sizing`` has the group columns in a frame that is cheap to scan; if it shows no group of
+    more than ``hot_rows`` rows, one window does it all. Otherwise the large groups are split off, see below.
     """
-    hot = hot_keys(df if sizing is None else sizing, group, hot_rows)
     order = [F.col(day).asc_nulls_last(), F.col(row_id).asc_nulls_last()]
-    before = F.lag(F.struct(F.lit(True).alias("seen"), *values))
+    previous = F.lag(F.struct(F.lit(True).alias("exists"), *values))
 
-    def finish(rows: DataFrame) -> DataFrame:
-        return rows.select(*df.columns, *[F.col(f"_prev.{v}").alias(f"prev_{v}") for v in values])
+    def plain(rows: DataFrame) -> DataFrame:
+        within = Window.partitionBy(*group).orderBy(*order)
+        return rows.select(*df.columns, *[F.lag(v).over(within).alias(f"prev_{v}") for v in values])
 
-    plain = Window.partitionBy(*group).orderBy(*order)
-    small = finish(without_hot(df, hot, group).withColumn("_prev", before.over(plain)))
+    if not has_hot_key(sizing, group, hot_rows):
+        return plain(df)
 
-    def level(rows: DataFrame, *cells: str) -> DataFrame:
-        """Fill ``_prev`` where still open; ``_ends`` marks the first and the last row of the cell."""
+    # A large group is cut into blocks of one day and id_span consecutive ids. Inner rows of a block are settled there;
+    # only its first and last row go on to a window over the day, and only a day's first and last row to a window
+    # over the group. So the windows hold at most id_span rows, two rows per block, and two rows per day.
+    hot = hot_keys(sizing, group, hot_rows)
+
+    def level(rows: DataFrame, found, *cells: str) -> DataFrame:
         within = Window.partitionBy(*group, *cells).orderBy(*order)
         return rows.select(
             *df.columns,
             "_block",
-            F.coalesce("_prev", before.over(within)).alias("_prev"),
-            (before.over(within).isNull() | F.lead(F.lit(True)).over(within).isNull()).alias("_ends"),
+            found(previous.over(within)).alias("_previous"),
+            (previous.over(within).isNull() | F.lead(F.lit(True)).over(within).isNull()).alias("_at_end"),
         )
 
+    def settled(rows: DataFrame) -> DataFrame:
+        return rows.select(*df.columns, *[F.col(f"_previous.{v}").alias(f"prev_{v}") for v in values])
+
     blocks = only_hot(df, hot, group).withColumn("_block", F.floor(F.col(row_id) / id_span))
-    nothing = F.lit(None).cast(blocks.select(F.struct(F.lit(True).alias("seen"), *values).alias("s")).schema["s"].dataType)
-    in_block = level(blocks.withColumn("_prev", nothing), day, "_block")
-    in_day = level(in_block.where("_ends"), day)
-    in_group = level(in_day.where("_ends"))
+    in_block = level(blocks, lambda here: here, day, "_block")
+    in_day = level(in_block.where("_at_end"), lambda here: F.coalesce("_previous", here), day)
+    in_group = level(in_day.where("_at_end"), lambda here: F.coalesce("_previous", here))
     return (
-        small.unionByName(finish(in_block.where("NOT _ends")))
-        .unionByName(finish(in_day.where("NOT _ends")))
-        .unionByName(finish(in_group))
+        plain(without_hot(df, hot, group))
+        .unionByName(settled(in_block.where("NOT _at_end")))
+        .unionByName(settled(in_day.where("NOT _at_end")))
+        .unionByName(settled(in_group))
     )

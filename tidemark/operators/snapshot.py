@@ -62,7 +62,7 @@ def snapshot(
 
     now = latest.select(key, F.lit(True).alias("_present"), *[F.col(c).alias(f"_now_{c}") for c in checked])
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_now_{c}")) for c in checked], F.col("_present").isNull())
-    reviewed = join_unique(open_rows, now, [key], "left", hot_rows, sizing=open_rows.select(key)).select(
+    reviewed = join_unique(open_rows, now, [key], "left", open_rows.select(key), hot_rows).select(
         *current.columns, "scd_id", "updated_at", "valid_from", F.when(differs, at).alias("valid_to")
     )
 

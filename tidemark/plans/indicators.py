@@ -47,13 +47,16 @@ def billing_sightings(billings: DataFrame) -> DataFrame:
 
 
 def customer_signal(
-    base: DataFrame, sightings: DataFrame, mark: str, window_days: int = 60, hot_rows: int = HOT_ROWS
+    base: DataFrame, sightings: DataFrame, mark: str, sizing: DataFrame, window_days: int = 60, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """(subscription_id) of the base subscriptions whose customer shows ``mark`` in the days before the reference date."""
+    """(subscription_id) of the base subscriptions whose customer shows ``mark`` in the days before the reference date.
+
+    ``sizing`` has the customer of every stored subscription version.
+    """
     seen = last_seen_before(base, sightings.where(mark), "customer_id", "reference_date", [], [mark])
     matched = seen.where(within(mark, "reference_date", window_days)).select("customer_id", "reference_date")
     keys = ["customer_id", "reference_date"]
-    return join_unique(base, matched, keys, "left_semi", hot_rows).select("subscription_id")
+    return join_unique(base, matched, keys, "left_semi", sizing.select("customer_id"), hot_rows).select("subscription_id")
 
 
 def usage_flags(

@@ -27,9 +27,9 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def row_counts(raw: Tables) -> DataFrame:
+def row_counts(raw: Tables, names: list[str]) -> DataFrame:
     return _stack(
-        [df.agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t, df in raw.items()]
+        [raw[t].agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in names]
     )
 
 
