@@ -11,25 +11,30 @@ def last_seen_before(
 ) -> DataFrame:
     """One row per (key, day) of ``anchors``: its ``totals`` summed, and per mark the latest sighting before that day.
 
-    ``sightings`` has the key, the day and one boolean column per mark. An event lies in the window [day - n, day)
-    exactly if the latest event before ``day`` is not older than day - n, so no event is ever paired with an anchor.
-    Both inputs are first rolled up to one row per key and day; the window over a key then holds at most one row
-    per calendar day, however many rows the key has.
+    ``sightings`` has the key, the day ``seen_on`` and one boolean column per mark. An event lies in the window
+    [day - n, day) exactly if the latest event before ``day`` is not older than day - n, so no event is ever paired
+    with an anchor. Both inputs are first rolled up to one row per key and day; the window over a key then holds at
+    most one row per calendar day, however many rows the key has.
     """
+    wanted = anchors.select(F.col(key).alias("_key"), F.col(day).alias("_day"), F.lit(True).alias("_anchor"), *totals)
+    seen = sightings.where(F.col(key).isNotNull() & F.col("seen_on").isNotNull()).select(
+        F.col(key).alias("_key"), F.col("seen_on").alias("_day"), *marks
+    )
     rolled = (
-        anchors.select(key, day, F.lit(True).alias("_anchor"), *totals)
-        .unionByName(sightings.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day, *marks), True)
-        .groupBy(key, day)
+        wanted.unionByName(seen, allowMissingColumns=True)
+        .groupBy("_key", "_day")
         .agg(
             F.max("_anchor").alias("_anchor"),
             *[F.sum(t).alias(t) for t in totals],
-            *[F.max(F.when(F.col(m), F.col(day))).alias(m) for m in marks],
+            *[F.max(F.when(F.col(m), F.col("_day"))).alias(m) for m in marks],
         )
     )
-    earlier = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    return rolled.select(key, day, "_anchor", *totals, *[F.max(m).over(earlier).alias(f"last_{m}") for m in marks]).where(
-        "_anchor"
-    ).drop("_anchor")
+    earlier = Window.partitionBy("_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rolled.select("*", *[F.max(m).over(earlier).alias(f"last_{m}") for m in marks])
+        .where("_anchor")
+        .select(F.col("_key").alias(key), F.col("_day").alias(day), *totals, *[f"last_{m}" for m in marks])
+    )
 
 
 def within(mark: str, day: str, days: int) -> Column:

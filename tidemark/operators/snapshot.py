@@ -38,27 +38,26 @@ def _single_rows(current: DataFrame, key: str) -> DataFrame:
     )
 
 
-def snapshot(
+def load(
     current: DataFrame,
-    history: DataFrame | None,
+    open_rows: DataFrame | None,
     key: str,
     check_cols: list[str],
     loaded_at: datetime,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """The history after loading ``current``.
+    """The versions still open after loading ``current``, and those the load closed. Closed history is not needed.
 
-    The first load (``history`` None) is a faithful copy, duplicates included. Later loads close the open versions
+    The first load (``open_rows`` None) is a faithful copy, duplicates included. Later loads close the open versions
     whose key is gone or whose checked columns differ (nulls compare as values), and open a version for each current
     row without a valid one. A change in other columns opens nothing.
     """
-    if history is None:
+    if open_rows is None:
         return _opened(current, key, loaded_at)
 
     at = F.lit(f"{loaded_at:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
     checked = [c for c in check_cols if c != key]
     latest = _single_rows(current, key)
-    open_rows = history.where(F.col("valid_to").isNull())
 
     now = latest.select(key, F.lit(True).alias("_present"), *[F.col(c).alias(f"_now_{c}") for c in checked])
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_now_{c}")) for c in checked], F.col("_present").isNull())
@@ -67,9 +66,20 @@ def snapshot(
     )
 
     valid = open_rows.select(F.col(key).alias("_was"), *[F.col(c).alias(f"_was_{c}") for c in checked]).distinct()
-    same = reduce(
-        and_, [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in checked], F.col(key) == F.col("_was")
-    )
-    added = _opened(latest.join(valid, same, "left_anti"), key, loaded_at)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in checked], F.col(key) == F.col("_was"))
+    return reviewed.unionByName(_opened(latest.join(valid, same, "left_anti"), key, loaded_at))
 
-    return history.where(F.col("valid_to").isNotNull()).unionByName(reviewed).unionByName(added)
+
+def snapshot(
+    current: DataFrame,
+    history: DataFrame | None,
+    key: str,
+    check_cols: list[str],
+    loaded_at: datetime,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The whole history after loading ``current``; closed versions pass through untouched."""
+    if history is None:
+        return load(current, None, key, check_cols, loaded_at, hot_rows)
+    changed = load(current, history.where(F.col("valid_to").isNull()), key, check_cols, loaded_at, hot_rows)
+    return history.where(F.col("valid_to").isNotNull()).unionByName(changed)

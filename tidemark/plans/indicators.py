@@ -28,7 +28,7 @@ def support_sightings(support: DataFrame) -> DataFrame:
     category = F.col("category")
     return support.where(category.isin("complaint", "technical_fault")).select(
         "customer_id",
-        F.to_date("created_at").alias("reference_date"),
+        F.to_date("created_at").alias("seen_on"),
         (category == "complaint").alias("complaint"),
         (category == "technical_fault").alias("technical_fault"),
     )
@@ -36,13 +36,13 @@ def support_sightings(support: DataFrame) -> DataFrame:
 
 def portal_sightings(portal: DataFrame) -> DataFrame:
     return portal.where(F.col("event_type") == "support_ticket_open").select(
-        "customer_id", F.to_date("event_timestamp").alias("reference_date"), F.lit(True).alias("ticket_open")
+        "customer_id", F.to_date("event_timestamp").alias("seen_on"), F.lit(True).alias("ticket_open")
     )
 
 
 def billing_sightings(billings: DataFrame) -> DataFrame:
     return billings.where(F.col("status").isin("unpaid", "part_paid")).select(
-        "customer_id", F.col("period_month").alias("reference_date"), F.lit(True).alias("billing")
+        "customer_id", F.col("period_month").alias("seen_on"), F.lit(True).alias("billing")
     )
 
 

@@ -6,21 +6,19 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.snapshot import load
 from tidemark.plans import facts, indicators, lifecycle, staging
-from tidemark.sources.tables import latest_history, publish_history, publish_table, publish_view
+from tidemark.sources.tables import open_versions, publish_history, publish_table, publish_view, read_history
 
 
 def refresh_histories(spark: SparkSession, raw: dict[str, DataFrame], root: str, loaded_at: datetime) -> dict[str, DataFrame]:
-    """Load the current customers and subscriptions into their histories; returns the new versions."""
-    loads = {"customers": staging.customer_history, "subscriptions": staging.subscription_history}
-    return {
-        name: publish_history(
-            load(raw[name], latest_history(spark, f"{root}/snapshots/{name}"), loaded_at),
-            f"{root}/snapshots/{name}",
-            loaded_at,
-        )
-        for name, load in loads.items()
-    }
+    """Load the current customers and subscriptions into their histories; returns them whole."""
+    histories = {}
+    for name, (key, check_cols) in staging.TRACKED.items():
+        path = f"{root}/snapshots/{name}"
+        publish_history(load(raw[name], open_versions(spark, path), key, check_cols, loaded_at), path, loaded_at)
+        histories[name] = read_history(spark, path)
+    return histories
 
 
 def stage(raw: dict[str, DataFrame], histories: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day
+from tidemark.operators.hot_keys import join_unique
 from tidemark.operators.quality import (
     duplicate_rows,
     frequencies,
@@ -183,8 +184,8 @@ def referential_integrity(staged: Tables) -> DataFrame:
     )
 
 
-def entity_rows(df: DataFrame, customer_id: int, product_type: str | None = None, order: tuple[str, ...] = ()) -> DataFrame:
-    """All rows of one customer, of one product if given, in order (nulls last)."""
+def entity_rows(df: DataFrame, customer_id: int, order: tuple[str, ...], product_type: str | None = None) -> DataFrame:
+    """All rows of one customer, of one product if given, ordered by the given columns (nulls last)."""
     rows = df.where(F.col("customer_id") == customer_id)
     if product_type is not None:
         rows = rows.where(F.col("product_type") == product_type)
@@ -198,6 +199,6 @@ def largest_customers(subscriptions: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(highest), "n", "left_semi").select("customer_id")
 
 
-def timelines(df: DataFrame, customers: DataFrame) -> DataFrame:
-    """All rows of the listed customers."""
-    return df.join(customers, "customer_id", "left_semi")
+def timelines(df: DataFrame, customers: DataFrame, sizing: DataFrame) -> DataFrame:
+    """All rows of the listed customers; ``sizing`` has the customer of every stored subscription version."""
+    return join_unique(df, customers, ["customer_id"], "left_semi", sizing.select("customer_id"))

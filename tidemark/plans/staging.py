@@ -12,17 +12,22 @@ from tidemark.functions.dates import day, days_between, hours_crossed
 from tidemark.operators.dedup import one_row_per_key
 from tidemark.operators.snapshot import VERSION_COLUMNS, snapshot
 
-# Tracked columns of the two history tables (fixed values). Columns not listed are taken as immutable.
-CUSTOMER_CHECKS = ["customer_id", "region", "acquisition_channel", "size_band"]
-SUBSCRIPTION_CHECKS = ["status", "mrr", "cancelled_date", "go_live_date", "contract_term_months"]
+# Key and tracked columns of the two history tables (fixed values). Columns not listed are taken as immutable.
+TRACKED = {
+    "customers": ("customer_id", ["customer_id", "region", "acquisition_channel", "size_band"]),
+    "subscriptions": (
+        "subscription_id",
+        ["status", "mrr", "cancelled_date", "go_live_date", "contract_term_months"],
+    ),
+}
 
 
 def customer_history(current: DataFrame, history: DataFrame | None, loaded_at: datetime) -> DataFrame:
-    return snapshot(current, history, "customer_id", CUSTOMER_CHECKS, loaded_at)
+    return snapshot(current, history, *TRACKED["customers"], loaded_at)
 
 
 def subscription_history(current: DataFrame, history: DataFrame | None, loaded_at: datetime) -> DataFrame:
-    return snapshot(current, history, "subscription_id", SUBSCRIPTION_CHECKS, loaded_at)
+    return snapshot(current, history, *TRACKED["subscriptions"], loaded_at)
 
 
 def stage_customers(history: DataFrame, as_of: date) -> DataFrame:
@@ -54,9 +59,8 @@ def _subscription_columns(rows: DataFrame) -> DataFrame:
 
 def stage_subscriptions(history: DataFrame, as_of: date) -> DataFrame:
     """One row per subscription: the open version if there is one, else the latest; ties fall by the other columns."""
-    versions = ["valid_to", "valid_from", "scd_id"]
-    newest = [F.col("valid_to").desc_nulls_first(), F.col("valid_from").desc(), F.col("scd_id")]
-    others = [F.col(c).asc_nulls_last() for c in history.columns if c not in {"subscription_id", "updated_at", *versions}]
+    newest = [F.col("valid_to").desc_nulls_first(), F.col("valid_from").desc()]
+    others = [F.col(c).asc_nulls_last() for c in history.columns if c not in {"subscription_id", *VERSION_COLUMNS}]
     rows = _subscription_columns(one_row_per_key(history, ["subscription_id"], newest + others))
     pending = (F.col("status") == "active") & (F.col("go_live_date") > day(as_of))
     return rows.select(

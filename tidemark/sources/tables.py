@@ -47,20 +47,46 @@ def publish_table(df: DataFrame, path: str, partition_by: str | None = None, sor
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish_history(df: DataFrame, root: str, loaded_at: datetime) -> DataFrame:
-    """Write one more version of a history table beside the earlier ones.
+def _children(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(status.getPath().toString() for status in found)
 
-    The new rows are computed from the version before, which is therefore never overwritten. The version counts
-    once its _SUCCESS marker exists, which the job commit writes last.
-    """
-    path = f"{root}/version={loaded_at:%Y%m%dT%H%M%S}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Finished loads, oldest first: a load counts once its job commit has written the _SUCCESS marker."""
+    return [marker.rsplit("/", 1)[0] for marker in _children(spark, f"{root}/version=*/_SUCCESS")]
 
-def latest_history(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest finished version of a history table; None before the first load."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    versions = sorted(status.getPath().getParent().toString() for status in found)
-    return spark.read.parquet(versions[-1]) if versions else None
+
+def publish_history(changes: DataFrame, root: str, loaded_at: datetime) -> None:
+    """Store one load of a history table: its open versions and the versions it closed, in a folder of its own.
+
+    Nothing that a reader or the load itself reads is overwritten, and earlier closed versions are not written
+    again, so a load costs what is open, not what is stored.
+    """
+    version = f"{root}/version={loaded_at:%Y%m%dT%H%M%S}"
+    finished = _versions(changes.sparkSession, root)
+    if finished and finished[-1].rsplit("/", 1)[1] >= version.rsplit("/", 1)[1]:
+        raise ValueError(f"{root}: a load of {loaded_at} or later is already stored")
+    # a folder without marker is left from a failed run and may be replaced
+    changes.withColumn("is_open", F.col("valid_to").isNull()).write.mode("overwrite").partitionBy("is_open").parquet(version)
+
+
+def open_versions(spark: SparkSession, root: str) -> DataFrame | None:
+    """The open versions after the newest load; None before the first."""
+    finished = _versions(spark, root)
+    if not finished:
+        return None
+    return spark.read.parquet(finished[-1]).where("is_open = 'true'").drop("is_open")
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame | None:
+    """All versions: the open ones of the newest load, and what each load closed; None before the first."""
+    finished = _versions(spark, root)
+    if not finished:
+        return None
+    closed = [path for v in finished for path in _children(spark, f"{v}/is_open=false")]
+    current = open_versions(spark, root)
+    if not closed:
+        return current
+    return current.unionByName(spark.read.schema(current.schema).parquet(*closed))
