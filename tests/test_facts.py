@@ -1,6 +1,6 @@
 from helpers import d, rows, subscription, subscriptions
 
-from tidemark.plans.facts import churn_denominator, churn_metrics, churn_numerator, subscription_monthly, trailing_months
+from tidemark.plans.facts import churn_denominator, churn_metrics, churn_numerator, subscription_monthly
 from tidemark.plans.lifecycle import subscription_lifecycle
 
 S = subscription
@@ -43,8 +43,11 @@ def test_months_of_a_subscription(spark):
 
 
 def test_trailing_months(spark):
-    months = [r[0] for r in rows(trailing_months(spark, TODAY))]
+    states = lifecycle(spark, S(1, 1, "2023-03-01"))
+    months = [r.churn_month for r in churn_metrics(states, TODAY).collect()]
     assert len(months) == 12 and months[0] == d("2023-01-01") and months[-1] == d("2023-12-01")
+    assert months == sorted(months)
+    assert churn_metrics(states, TODAY, months=15).first().churn_month == d("2022-10-01")
 
 
 def by_month(df):

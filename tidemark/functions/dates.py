@@ -26,10 +26,6 @@ def hours_crossed(start: Column, end: Column) -> Column:
     return (whole_days + F.hour(end) - F.hour(start)).cast("bigint")
 
 
-def months_spanned(first: Column, last: Column) -> Column:
-    """Array of month starts from first to last; null (no rows once exploded) if the span is empty.
-
-    The test sits inside ``when`` because ``sequence`` raises on a reversed span, and a separate filter
-    may be moved below the expression it should guard.
-    """
-    return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
+def months_apart(first: Column, last: Column) -> Column:
+    """Calendar months from the month of ``first`` to the month of ``last``."""
+    return (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first)

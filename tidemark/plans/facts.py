@@ -4,65 +4,67 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import day, month_start, months_spanned
+from tidemark.functions.dates import day, month_start, months_apart
 from tidemark.functions.rates import compounded_percent, percent
 from tidemark.plans.lifecycle import LIVE_STATES, live_subscriptions
 
 
 def subscription_monthly(lifecycle: DataFrame, as_of: date) -> DataFrame:
-    """One row per live subscription and month, from go-live up to and including the month of cancellation, or today's."""
-    last_month = month_start(F.coalesce("cancelled_date", day(as_of)))
-    return live_subscriptions(lifecycle).select(
-        "subscription_id",
-        "customer_id",
-        "product_type",
-        "plan",
-        "contract_term_months",
-        "lifecycle_state",
-        F.explode(months_spanned(month_start(F.col("go_live_date")), last_month)).alias("activity_month"),
-        "mrr",
-    )
-
+    """One row per live subscription and month, from go-live up to and including the month of cancellation, or today's.
 
-def trailing_months(spark: SparkSession, as_of: date, months: int = 12) -> DataFrame:
-    """(churn_month): the starts of the full months before ``as_of``."""
-    this_month = month_start(day(as_of))
-    return spark.range(1).select(
-        F.explode(months_spanned(F.add_months(this_month, -months), F.add_months(this_month, -1))).alias("churn_month")
+    Each row unfolds its own months in place: no calendar table, no range join, no shuffle.
+    """
+    length = months_apart(F.col("go_live_date"), F.coalesce("cancelled_date", day(as_of)))
+    # the test is part of the expression, as sequence counts downwards for a reversed span
+    offsets = F.when(length >= 0, F.sequence(F.lit(0), length))
+    columns = ["subscription_id", "customer_id", "product_type", "plan", "contract_term_months", "lifecycle_state"]
+    return (
+        live_subscriptions(lifecycle)
+        .select(*columns, month_start(F.col("go_live_date")).alias("_first"), F.explode(offsets).alias("_offset"), "mrr")
+        .select(*columns, F.add_months("_first", F.col("_offset")).alias("activity_month"), "mrr")
     )
 
 
-def _window(as_of: date, months: int):
-    this_month = month_start(day(as_of))
-    return F.add_months(this_month, -months), F.add_months(this_month, -1)
-
+def _trailing_counts(lifecycle: DataFrame, as_of: date, months: int, early_life_days: int) -> DataFrame:
+    """One row per full month before ``as_of``: live at its start, churned in it, churned early.
 
-def _base_months(as_of: date, months: int):
-    """Months of the window at whose start the subscription was live: went live before, not cancelled before."""
-    first, last = _window(as_of, months)
-    after_go_live = F.add_months(month_start(F.col("go_live_date")), 1)
-    went_live = F.col("lifecycle_state").isin(*LIVE_STATES) & F.col("go_live_date").isNotNull()
-    return F.when(
-        went_live,
-        months_spanned(F.greatest(after_go_live, first), F.least(month_start(F.col("cancelled_date")), last)),
-    )
+    The months are few and known, so a single aggregate counts them all in one pass, and months without
+    subscriptions keep their row.
+    """
+    starts = [F.add_months(month_start(day(as_of)), -back) for back in range(months, 0, -1)]
+    state, go_live, ended = F.col("lifecycle_state"), F.col("go_live_date"), F.col("cancelled_date")
+    went_live = state.isin(*LIVE_STATES)
+    churned = state == "voluntary_cancellation"
+    early = F.datediff(ended, go_live) <= early_life_days
+
+    def count(condition):
+        return F.count(F.when(condition, True))
+
+    counts, rows = [], []
+    for i, start in enumerate(starts):
+        in_month = churned & (month_start(ended) == start)
+        counts += [
+            count(went_live & (go_live < start) & (ended.isNull() | (ended >= start))).alias(f"live_{i}"),
+            count(in_month).alias(f"churned_{i}"),
+            count(in_month & early).alias(f"early_{i}"),
+        ]
+        rows.append(
+            F.struct(
+                start.alias("churn_month"),
+                F.col(f"live_{i}").alias("active_start_of_month"),
+                F.col(f"churned_{i}").alias("churned_subs"),
+                F.col(f"early_{i}").alias("early_life_churned_subs"),
+            )
+        )
+    return lifecycle.agg(*counts).select(F.inline(F.array(*rows)))
 
 
 def churn_denominator(lifecycle: DataFrame, as_of: date, months: int = 12) -> DataFrame:
     """(churn_month, active_start_of_month), months without any subscription included."""
-    live = (
-        lifecycle.select(F.explode(_base_months(as_of, months)).alias("churn_month"))
-        .groupBy("churn_month")
-        .agg(F.count("*").alias("n"))
-    )
-    return (
-        trailing_months(lifecycle.sparkSession, as_of, months)
-        .join(live, "churn_month", "left")
-        .select("churn_month", F.coalesce("n", F.lit(0)).alias("active_start_of_month"))
-    )
+    return _trailing_counts(lifecycle, as_of, months, 0).select("churn_month", "active_start_of_month")
 
 
 def churn_numerator(lifecycle: DataFrame, early_life_days: int = 30) -> DataFrame:
@@ -79,54 +81,15 @@ def churn_numerator(lifecycle: DataFrame, early_life_days: int = 30) -> DataFram
 
 
 def churn_metrics(lifecycle: DataFrame, as_of: date, months: int = 12, early_life_days: int = 30) -> DataFrame:
-    """Voluntary churn per full trailing month, as monthly and as compounded annual rate.
-
-    One pass over the lifecycle: each subscription contributes its base months and, if it churned, its churn month,
-    and the counts are combined before the shuffle to one row per month and task.
-    """
-    in_base = F.transform(
-        _base_months(as_of, months),
-        lambda m: F.struct(m.alias("churn_month"), F.lit(1).alias("base"), F.lit(0).alias("churned"), F.lit(0).alias("early")),
-    )
-    early = F.datediff("cancelled_date", "go_live_date") <= early_life_days
-    churn = F.when(
-        F.col("lifecycle_state") == "voluntary_cancellation",
-        F.array(
-            F.struct(
-                month_start(F.col("cancelled_date")).alias("churn_month"),
-                F.lit(0).alias("base"),
-                F.lit(1).alias("churned"),
-                F.when(early, 1).otherwise(0).alias("early"),
-            )
-        ),
-    )
-    none = F.array().cast("array<struct<churn_month:date,base:int,churned:int,early:int>>")
-    counts = (
-        lifecycle.select(F.inline(F.concat(F.coalesce(in_base, none), F.coalesce(churn, none))))
-        .groupBy("churn_month")
-        .agg(*[F.sum(c).alias(c) for c in ("base", "churned", "early")])
-    )
-
-    def count(name: str):
-        return F.coalesce(name, F.lit(0))
-
-    # at most one row per month on either side
+    """Voluntary churn per full trailing month, as monthly and as compounded annual rate."""
+    churned, live = F.col("churned_subs"), F.col("active_start_of_month")
     return (
-        trailing_months(lifecycle.sparkSession, as_of, months)
-        .join(counts, "churn_month", "left")
+        _trailing_counts(lifecycle, as_of, months, early_life_days)
         .where(F.col("churn_month") < month_start(day(as_of)))
-        .select(
-            "churn_month",
-            count("base").alias("active_start_of_month"),
-            count("churned").alias("churned_subs"),
-            count("early").alias("early_life_churned_subs"),
-        )
         .select(
             "*",
-            percent(F.col("churned_subs"), F.col("active_start_of_month"), 2).alias("monthly_churn_rate_pct"),
-            compounded_percent(F.col("churned_subs"), F.col("active_start_of_month"), 12).alias(
-                "annualised_churn_rate_pct"
-            ),
+            percent(churned, live, 2).alias("monthly_churn_rate_pct"),
+            compounded_percent(churned, live, 12).alias("annualised_churn_rate_pct"),
         )
         .orderBy("churn_month")
     )

@@ -16,8 +16,24 @@ FIRST_LOAD = datetime(2024, 1, 18)
 SECOND_LOAD = datetime(2024, 1, 19)
 
 
+# Columns used of the given tables (fixed values)
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_returnflag string"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(GIVEN[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
