@@ -87,7 +87,8 @@ def usage(spark, *given):
     )
 
 
-def test_usage_signals(spark):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
+def test_usage_signals(spark, hot_rows):
     ref = "2024-03-01"  # halves of the window: 2024-01-01 to 01-30, 01-31 to 02-29
     base = base_of(spark, *[(s, s, False, ref) for s in range(1, 11)])
     out = indicators.usage_flags(
@@ -104,6 +105,7 @@ def test_usage_signals(spark):
             (8, "2024-01-01", 1, 1, 8), (8, "2024-02-01", 1, 1, 1),
             (9, "2024-01-05", 1, 60, 1), (9, "2024-01-05", 1, 60, 1), (9, "2024-02-05", 1, 59, 1),  # a day given twice
         ),
+        hot_rows=hot_rows,
     )
     assert rows(out.where("usage_drop"), "subscription_id") == [(3,), (4,), (9,)]
     assert rows(out.where("peak"), "subscription_id") == [(8,)]

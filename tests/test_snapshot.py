@@ -68,6 +68,18 @@ def test_two_loads(spark, hot_rows):
     assert out.columns == ["id", "v", "w", "untracked", "scd_id", "updated_at", "valid_from", "valid_to"]
 
 
+def test_rows_without_key(spark):
+    current = table(spark, (1, "a", None, "x"), (None, "b", None, "x"), (None, "c", None, "x"))
+    out = load(current, load(current, None, T1), T2)
+    assert versions(out.where("id is null")) == [
+        (None, "b", None, T1, T2),
+        (None, "b", None, T2, None),
+        (None, "c", None, T1, T2),
+        (None, "c", None, T2, None),
+    ]
+    assert versions(out.where("id = 1")) == [(1, "a", None, T1, None)]
+
+
 def test_unchanged_input_changes_nothing(spark):
     current = table(spark, (1, "a", None, "x"), (2, None, "2024-01-01", "x"))
     history = load(current, None, T1)
@@ -87,6 +99,24 @@ def test_conflicting_rows_fail(spark):
         load(table(spark, (1, "a", None, "x"), (1, "b", None, "x")), history, T2).collect()
 
 
+def test_conflicting_open_versions_fail(spark):
+    history = load(table(spark, (1, "a", None, "x"), (1, "b", None, "x")), None, T1)
+    assert history.count() == 2
+    with pytest.raises(PySparkException, match="different rows share id 1"):
+        load(table(spark, (1, "a", None, "x")), history, T2).collect()
+
+
+def test_each_side_is_shuffled_once_per_shape(spark):
+    current = table(spark, (1, "a", None, "x"), (2, "b", None, "x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = load(current, load(current, None, T1), T2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # open rows, current rows (twice in the plan, reused when run), open versions
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
 def test_version_id(spark):
     (row,) = load(table(spark, (1, "a", None, "x")), None, T1).collect()
     import hashlib

@@ -4,7 +4,7 @@ import pytest
 from helpers import d, rows, ts
 
 from tidemark.operators.snapshot import load
-from tidemark.plans import pipeline
+from tidemark.plans import build
 from tidemark.sources import sample, tables
 from tidemark.sources.schemas import RAW
 
@@ -76,7 +76,7 @@ def test_history_keeps_every_load(spark, tmp_path):
 
 def test_whole_build(spark, tmp_path):
     raw = {name: make(spark, SF) for name, make in sample.RAW_TABLES.items()}
-    marts = pipeline.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.FIRST_LOAD)
+    marts = build.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.FIRST_LOAD)
     assert marts["subscription_monthly"].count() == 42178
     assert [r.churn_month for r in marts["churn_metrics"].orderBy("churn_month").collect()][-1] == date(2023, 12, 1)
     scan = {r.signal_name: r.risk_ratio for r in marts["leading_indicator_scan"].collect()}
@@ -84,6 +84,6 @@ def test_whole_build(spark, tmp_path):
     assert spark.table("stg_subscriptions").count() == 1500
 
     # a second day with the same source: same marts, nothing closed
-    again = pipeline.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.SECOND_LOAD)
+    again = build.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.SECOND_LOAD)
     assert again["subscription_monthly"].count() == 42178
     assert tables.read_history(spark, str(tmp_path / "out/snapshots/subscriptions")).where("valid_to is not null").count() == 0

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.hot_keys import HOT_ROWS, join_unique
@@ -26,18 +26,28 @@ def _opened(rows: DataFrame, key: str, loaded_at: datetime) -> DataFrame:
     )
 
 
-def _single_rows(current: DataFrame, key: str) -> DataFrame:
+def _single_rows(rows: DataFrame, key: str) -> DataFrame:
     """One row per key; equal copies fold together, two different rows under one key fail the job."""
-    row = F.struct(*current.columns)
+    row = F.struct(*rows.columns)
     conflict = F.raise_error(F.concat(F.lit(f"snapshot: different rows share {key} "), F.col(key).cast("string")))
     return (
-        current.groupBy(key)
+        rows.groupBy(key)
         .agg(F.min(row).alias("low"), F.max(row).alias("high"))
-        .select(F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(conflict).alias("row"))
-        .select("row.*")
+        .select(key, F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(conflict).alias("row"))
+        .select(key, *[F.col(f"row.{c}").alias(c) for c in rows.columns if c != key])
+        .select(*rows.columns)
     )
 
 
+def _differs(checked: list[str], other: str) -> Column:
+    return reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_{other}_{c}")) for c in checked], F.col(f"_{other}").isNull())
+
+
+def _beside(rows: DataFrame, key: str, checked: list[str], name: str) -> DataFrame:
+    """Key and checked columns under names of their own, to compare rows of two frames."""
+    return rows.select(key, F.lit(True).alias(f"_{name}"), *[F.col(c).alias(f"_{name}_{c}") for c in checked])
+
+
 def load(
     current: DataFrame,
     open_rows: DataFrame | None,
@@ -50,24 +60,27 @@ def load(
 
     The first load (``open_rows`` None) is a faithful copy, duplicates included. Later loads close the open versions
     whose key is gone or whose checked columns differ (nulls compare as values), and open a version for each current
-    row without a valid one. A change in other columns opens nothing.
+    row without a valid one. A change in other columns opens nothing. Copies count as one row; different rows under one
+    key make the comparison ambiguous and fail the load.
     """
     if open_rows is None:
         return _opened(current, key, loaded_at)
 
     at = F.lit(f"{loaded_at:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
     checked = [c for c in check_cols if c != key]
-    latest = _single_rows(current, key)
+    latest = _single_rows(current.where(F.col(key).isNotNull()), key)
 
-    now = latest.select(key, F.lit(True).alias("_present"), *[F.col(c).alias(f"_now_{c}") for c in checked])
-    differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_now_{c}")) for c in checked], F.col("_present").isNull())
+    # every open row, copies included, beside the one current row of its key
+    now = _beside(latest, key, checked, "now")
     reviewed = join_unique(open_rows, now, [key], "left", open_rows.select(key), hot_rows).select(
-        *current.columns, "scd_id", "updated_at", "valid_from", F.when(differs, at).alias("valid_to")
+        *current.columns, "scd_id", "updated_at", "valid_from", F.when(_differs(checked, "now"), at).alias("valid_to")
     )
-
-    valid = open_rows.select(F.col(key).alias("_was"), *[F.col(c).alias(f"_was_{c}") for c in checked]).distinct()
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in checked], F.col(key) == F.col("_was"))
-    return reviewed.unionByName(_opened(latest.join(valid, same, "left_anti"), key, loaded_at))
+    # every current row beside the one open version of its key; both are grouped by key already
+    was = _beside(_single_rows(open_rows.select(key, *checked), key), key, checked, "was")
+    added = latest.join(was, key, "left").where(_differs(checked, "was")).select(*current.columns)
+    # rows without key match nothing: each load closes the old and opens the new
+    added = added.unionByName(current.where(F.col(key).isNull()))
+    return reviewed.unionByName(_opened(added, key, loaded_at))
 
 
 def snapshot(

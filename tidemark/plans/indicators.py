@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rates import percent, risk_ratio
-from tidemark.operators.hot_keys import HOT_ROWS, join_unique
+from tidemark.operators.hot_keys import HOT_ROWS, has_hot_key, join_unique
 from tidemark.operators.lookback import last_seen_before, within
 
 # Signal names of the scan (fixed values): mark -> name
@@ -66,16 +66,25 @@ def usage_flags(
     recent_days: int = 30,
     drop_threshold: float = -0.5,
     peak_threshold: int = 8,
+    sizing: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per base subscription: did call minutes drop between the two halves of the window, did concurrency peak?
 
-    Usage is rolled up per subscription and day before it meets the base, so copies of a day shrink before they
-    move and no subscription has more rows than days. Days without calls report a default peak and do not count.
+    Usage, the largest table, is shuffled once, to the base row of its subscription. Only if ``sizing`` (the
+    subscription of each usage row, or of a cheaper frame with at least as many) shows a subscription too large for
+    that, usage is first rolled up per day, so that no subscription has more rows than days. Days without calls
+    report a default peak and do not count.
     """
-    daily = usage.groupBy("subscription_id", "usage_date").agg(
-        F.sum("call_minutes").alias("minutes"),
-        F.max(F.when(F.col("call_count") > 0, F.col("concurrent_peak"))).alias("peak"),
+    daily = usage.select(
+        "subscription_id",
+        "usage_date",
+        F.col("call_minutes").alias("minutes"),
+        F.when(F.col("call_count") > 0, F.col("concurrent_peak")).alias("peak"),
     )
+    keys = usage if sizing is None else sizing
+    if has_hot_key(keys, ["subscription_id"], hot_rows):
+        daily = daily.groupBy("subscription_id", "usage_date").agg(F.sum("minutes").alias("minutes"), F.max("peak").alias("peak"))
     reference, used = F.col("reference_date"), F.col("usage_date")
     in_window = (used < reference) & (used >= F.date_sub(reference, window_days))
     is_recent = used >= F.date_sub(reference, recent_days)
@@ -137,6 +146,8 @@ def leading_indicator_scan(
     recent_days: int = 30,
     drop_threshold: float = -0.5,
     peak_threshold: int = 8,
+    usage_sizing: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Six signals: how many churned and how many retained subscriptions show them, and the ratio of the two rates.
 
@@ -154,7 +165,9 @@ def leading_indicator_scan(
     by_customer = _scan_rows(
         seen, CUSTOMER_SIGNALS, {m: within(m, "reference_date", window_days) for m in CUSTOMER_SIGNALS}
     )
-    flagged = usage_flags(base, usage, window_days, recent_days, drop_threshold, peak_threshold)
+    flagged = usage_flags(
+        base, usage, window_days, recent_days, drop_threshold, peak_threshold, usage_sizing, hot_rows
+    )
     by_usage = _scan_rows(
         flagged.select("*", *_churned_active()), USAGE_SIGNALS, {m: F.col(m) for m in USAGE_SIGNALS}
     )

@@ -190,6 +190,11 @@ def usage_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def usage_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscription of every line item: an upper bound of the usage rows per subscription."""
+    return _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("subscription_id"))
+
+
 RAW_TABLES = {
     "customers": customers,
     "subscriptions": subscriptions,
