@@ -21,6 +21,7 @@ def test_violations(spark):
 def test_duplicates_and_keys(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, 2), (3, 4), (3, 4), (3, 4)], "a int, b int")
     assert rows(quality.duplicate_rows(df, "t")) == [("t", 6, 3, 2)]
+    assert [tuple(r) for r in quality.counts(df, ["a"]).collect()] == [(1, 3), (3, 3)]
     assert rows(quality.repeated(df, ["a", "b"])) == [(1, None, 2), (3, 4, 3)]
     assert rows(quality.key_uniqueness(df, "t", ["a"])) == [("t", "a", 2, 2)]
     assert rows(quality.duplicate_rows(df.where("false"), "t")) == [("t", 0, 0, 0)]
@@ -64,4 +65,4 @@ def test_entity_rows(spark):
     assert quality_reports.entity_rows(df, 1, ("o",)).count() == 3
     largest = quality_reports.largest_customers(df)
     assert rows(largest) == [(1,)]
-    assert quality_reports.timelines(df, largest, df).count() == 3
+    assert [r.o for r in quality_reports.timelines(df, largest, ("o",), df).collect()] == [1, 2, None]

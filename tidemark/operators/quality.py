@@ -32,6 +32,11 @@ def duplicate_rows(df: DataFrame, table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "n_rows", "n_distinct", "n_repeated")
 
 
+def counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """How often each value occurs, most frequent first. Ties are ordered too, so that the sort can split them."""
+    return df.groupBy(*columns).agg(F.count("*").alias("cnt")).orderBy(F.col("cnt").desc(), *columns)
+
+
 def repeated(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values that occur more than once, with their count: the key check, or the copies if all columns are given."""
     return df.groupBy(*columns).agg(F.count("*").alias("cnt")).where(F.col("cnt") > 1)
@@ -46,7 +51,7 @@ def key_uniqueness(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 
 def frequencies(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """(table_name, column_name, value, cnt): how often each value occurs, for several columns in one scan."""
+    """(table_name, column_name, value, cnt): how often each value of several columns occurs, counted in one scan."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
     return (
         df.select(F.inline(pairs))

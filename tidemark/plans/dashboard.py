@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day, days_between
 from tidemark.operators.lookback import last_seen_before, within
+from tidemark.operators.quality import counts
 from tidemark.plans.indicators import billing_sightings
 from tidemark.plans.lifecycle import live_subscriptions
 
@@ -76,4 +77,4 @@ def risk_ratios(scan: DataFrame) -> DataFrame:
 
 def state_distribution(rows: DataFrame) -> DataFrame:
     """(lifecycle_state, cnt): of the lifecycle, or of the months of the monthly fact."""
-    return rows.groupBy("lifecycle_state").agg(F.count("*").alias("cnt"))
+    return counts(rows, ["lifecycle_state"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import day
 from tidemark.operators.hot_keys import join_unique
 from tidemark.operators.quality import (
+    counts,
     duplicate_rows,
     frequencies,
     key_uniqueness,
@@ -133,7 +134,7 @@ def usage_rules(usage: DataFrame) -> DataFrame:
 
 
 def attribution(portal: DataFrame) -> DataFrame:
-    return portal.groupBy("is_unattributed_flag").agg(F.count("*").alias("cnt"))
+    return counts(portal, ["is_unattributed_flag"])
 
 
 def signup_trend(customers: DataFrame) -> DataFrame:
@@ -145,15 +146,12 @@ def signup_trend(customers: DataFrame) -> DataFrame:
         "year_month": F.concat(F.year(signup).cast("string"), F.lit("-"), F.lpad(F.month(signup).cast("string"), 2, "0")),
     }
     rows = F.array(*[F.struct(F.lit(k).alias("period_kind"), v.alias("period")) for k, v in periods.items()])
-    return customers.select(F.inline(rows)).groupBy("period_kind", "period").agg(F.count("*").alias("cnt"))
-
-
-def counts_by(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count("*").alias("cnt"))
+    grouped = customers.select(F.inline(rows)).groupBy("period_kind", "period").agg(F.count("*").alias("cnt"))
+    return grouped.orderBy("period_kind", "period")
 
 
 def multi_subscription_customers(subscriptions: DataFrame) -> DataFrame:
-    return repeated(subscriptions, ["customer_id"])
+    return counts(subscriptions, ["customer_id"]).where(F.col("cnt") > 1)
 
 
 def signal_population(staged: Tables) -> DataFrame:
@@ -199,6 +197,10 @@ def largest_customers(subscriptions: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(highest), "n", "left_semi").select("customer_id")
 
 
-def timelines(df: DataFrame, customers: DataFrame, sizing: DataFrame) -> DataFrame:
-    """All rows of the listed customers; ``sizing`` has the customer of every stored subscription version."""
-    return join_unique(df, customers, ["customer_id"], "left_semi", sizing.select("customer_id"))
+def timelines(df: DataFrame, customers: DataFrame, order: tuple[str, ...], sizing: DataFrame) -> DataFrame:
+    """All rows of the listed customers, ordered by customer and the given columns (nulls last).
+
+    ``sizing`` has the customer of every stored subscription version.
+    """
+    rows = join_unique(df, customers, ["customer_id"], "left_semi", sizing.select("customer_id"))
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in ("customer_id", *order)])
