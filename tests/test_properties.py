@@ -1,0 +1,143 @@
+"""Random small inputs against plain Python models, and invariants on the test data."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from compare import contract
+from helpers import d, rows, subscription, subscriptions, ts
+
+from tidemark.operators.snapshot import snapshot
+from tidemark.plans.facts import churn_metrics, subscription_monthly
+from tidemark.plans.indicators import leading_indicator_scan
+from tidemark.plans.lifecycle import LIVE_STATES, subscription_lifecycle
+
+SF = "/root/testdata/sf0.001"
+TODAY = d("2024-01-20")
+
+
+def some_day(pick, *, missing=0.2):
+    return None if pick.random() < missing else str(date(2022, 10, 1) + timedelta(pick.randint(0, 600)))
+
+
+def some_subscriptions(pick, n):
+    for i in range(n):
+        status = pick.choice(["active", "active", "cancelled", "cancelled", "fraud", "doa", "odd", None])
+        cancelled = some_day(pick, missing=0.1 if status == "cancelled" else 0.9)
+        product = pick.choice(["voip", "mobile", None])
+        yield subscription(i, pick.choice([1, 2, 3, None]), some_day(pick), status, cancelled, product, pick.random() < 0.05)
+
+
+def model_state(row, before):
+    status, go_live = row[6], row[5]
+    if status == "fraud":
+        return "fraud"
+    if status == "doa":
+        return "cancelled_before_go_live"
+    if row[9]:
+        return "pending_activation"
+    if before and before[6] == "cancelled" and before[7] and go_live and go_live > before[7]:
+        return "reactivation"
+    return {"cancelled": "voluntary_cancellation", "active": "active"}.get(status, "unknown")
+
+
+def model_lifecycle(given):
+    states = {}
+    for row in given:
+        mine = sorted(
+            (r for r in given if r[1:3] == row[1:3]), key=lambda r: (r[5] is None, r[5] or date.min, r[0])
+        )
+        at = mine.index(row)
+        states[row[0]] = model_state(row, mine[at - 1] if at else None)
+    return states
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("hot_rows", [1_000_000, 6])
+def test_lifecycle_facts_and_churn(spark, seed, hot_rows):
+    given = list(some_subscriptions(random.Random(seed), 120))
+    df = subscriptions(spark, *given)
+    out = subscription_lifecycle(df, df, hot_rows=hot_rows, id_span=10).cache()
+    states = model_lifecycle(given)
+    assert dict(rows(out, "subscription_id", "lifecycle_state")) == states
+
+    live = [r for r in given if states[r[0]] in LIVE_STATES and r[5]]
+    months = []
+    for row in live:
+        year, month = row[5].year, row[5].month
+        while date(year, month, 1) <= (row[7] or TODAY):
+            months.append((row[0], date(year, month, 1)))
+            year, month = (year, month + 1) if month < 12 else (year + 1, 1)
+    assert rows(subscription_monthly(out, TODAY), "subscription_id", "activity_month") == sorted(months)
+
+    for r in churn_metrics(out, TODAY).collect():
+        base = [s for s in live if s[5] < r.churn_month and (s[7] is None or s[7] >= r.churn_month)]
+        churned = [
+            s for s in given
+            if states[s[0]] == "voluntary_cancellation" and s[7] and s[7].replace(day=1) == r.churn_month
+        ]
+        early = [s for s in churned if s[5] and (s[7] - s[5]).days <= 30]
+        assert (r.active_start_of_month, r.churned_subs, r.early_life_churned_subs) == (len(base), len(churned), len(early))
+    out.unpersist()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_four_loads_keep_the_books(spark, seed):
+    pick = random.Random(seed)
+    model, history = [], None
+    for n in range(4):
+        at = ts(f"2024-01-1{n}T00:00:00")
+        current = {k: (pick.choice(["a", "b", None]), pick.choice([1, None])) for k in range(25) if pick.random() < 0.7}
+        if history is not None:
+            for version in model:
+                if version["to"] is None and current.get(version["key"]) != version["row"]:
+                    version["to"] = at
+        for key, row in current.items():
+            if not any(v["key"] == key and v["to"] is None for v in model):
+                model.append({"key": key, "row": row, "from": at, "to": None})
+        df = spark.createDataFrame([(k, v, w) for k, (v, w) in current.items()], "id int, v string, w int")
+        history = snapshot(df, history, "id", ["v", "w"], at, hot_rows=pick.choice([1, 1_000_000]))
+    found = [(r.id, r.v, r.w, r.valid_from, r.valid_to) for r in history.collect()]
+    wanted = [(v["key"], *v["row"], v["from"], v["to"]) for v in model]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+def test_counts_agree_with_each_other(spark):
+    inputs = contract.Inputs(spark, SF)
+    states = dict(rows(contract.queries()["lifecycle_distribution"](spark, SF)))
+    assert sum(states.values()) == inputs.staged["subscriptions"].count() == 1500
+    scan = contract.queries()["leading_indicator_scan"](spark, SF).collect()
+    assert {(r.churned_total, r.active_total) for r in scan} == {
+        (states["voluntary_cancellation"], states["active"] + states["reactivation"])
+    }
+    members = {
+        "support_complaint_60d": "signal_complaint",
+        "portal_support_ticket_open_60d": "signal_ticket_open",
+        "technical_fault_60d": "signal_technical_fault",
+        "usage_minutes_drop_50pct_30d": "signal_usage_drop",
+        "billing_unpaid_or_partpaid_60d": "signal_billing",
+        "concurrent_peak_top_decile_60d": "signal_peak",
+    }
+    for r in scan:
+        assert r.churned_with_signal + r.active_with_signal == contract.queries()[members[r.signal_name]](spark, SF).count()
+
+
+@pytest.mark.parametrize(
+    "setting", [("spark.sql.adaptive.enabled", "false"), ("spark.sql.ansi.enabled", "false"), ("spark.sql.session.timeZone", "Asia/Tokyo")]
+)
+def test_results_do_not_depend_on_session_settings(spark, setting):
+    names = ["stg_support_contacts", "churn_metrics", "leading_indicator_scan", "snapshot_subscriptions", "dash_at_risk_customers"]
+    before = {name: rows(contract.queries()[name](spark, SF)) for name in names}
+    kept = spark.conf.get(setting[0])
+    spark.conf.set(*setting)
+    try:
+        assert {name: rows(contract.queries()[name](spark, SF)) for name in names} == before
+    finally:
+        spark.conf.set(setting[0], kept)
+
+
+def test_all_plans_for_large_keys_at_once(spark):
+    inputs = contract.Inputs(spark, SF)
+    staged, base = inputs.staged, inputs.base()
+    sources = [staged[t] for t in ("support_contacts", "portal_events", "billings", "usage_daily")]
+    assert rows(leading_indicator_scan(base, *sources, hot_rows=1)) == rows(leading_indicator_scan(base, *sources))
