@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day
@@ -23,6 +23,7 @@ from tidemark.operators.quality import (
 )
 
 Tables = dict[str, DataFrame]
+Checks = dict[str, Column]
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:
@@ -54,15 +55,18 @@ def key_checks(raw: Tables) -> DataFrame:
     return _stack([key_uniqueness(raw[t], t, columns) for t, columns in keys.items()])
 
 
+# Columns that must not be null, per table
+REQUIRED = {
+    "subscriptions": ["subscription_id", "customer_id"],
+    "billings": ["customer_id", "period_month"],
+    "support_contacts": ["contact_id", "customer_id", "created_at"],
+    "portal_events": ["event_id", "customer_id", "event_timestamp"],
+    "usage_daily": ["subscription_id", "usage_date"],
+}
+
+
 def null_keys(raw: Tables) -> DataFrame:
-    required = {
-        "subscriptions": ["subscription_id", "customer_id"],
-        "billings": ["customer_id", "period_month"],
-        "support_contacts": ["contact_id", "customer_id", "created_at"],
-        "portal_events": ["event_id", "customer_id", "event_timestamp"],
-        "usage_daily": ["subscription_id", "usage_date"],
-    }
-    return _stack([violations(raw[t], t, null_checks(columns)) for t, columns in required.items()])
+    return _stack([violations(raw[t], t, null_checks(columns)) for t, columns in REQUIRED.items()])
 
 
 def domains(staged: Tables) -> DataFrame:
@@ -75,33 +79,47 @@ def domains(staged: Tables) -> DataFrame:
     return _stack([frequencies(staged[t], t, c) for t, c in columns.items()])
 
 
-def subscription_rules(raw_subscriptions: DataFrame, as_of: date) -> DataFrame:
+def subscription_rules(as_of: date) -> Checks:
     status, go_live, cancelled = F.trim("status"), F.col("go_live_date"), F.col("cancelled_date")
-    return violations(
-        raw_subscriptions,
-        "subscriptions",
-        {
-            "doa_with_go_live_date": (status == "doa") & go_live.isNotNull(),
-            "doa_cancelled_in_future": (status == "doa") & (cancelled > day(as_of)),
-            "active_with_cancelled_date": (status == "active") & cancelled.isNotNull(),
-            "active_without_go_live_date": (status == "active") & go_live.isNull(),
-            "active_with_future_go_live": (status == "active") & (go_live > day(as_of)),
-        },
-    )
+    return {
+        "doa_with_go_live_date": (status == "doa") & go_live.isNotNull(),
+        "doa_cancelled_in_future": (status == "doa") & (cancelled > day(as_of)),
+        "active_with_cancelled_date": (status == "active") & cancelled.isNotNull(),
+        "active_without_go_live_date": (status == "active") & go_live.isNull(),
+        "active_with_future_go_live": (status == "active") & (go_live > day(as_of)),
+    }
 
 
-def billing_rules(billings: DataFrame) -> DataFrame:
-    status, due, paid = F.col("status"), F.col("amount_due"), F.col("amount_paid")
-    return violations(
-        billings,
-        "billings",
-        {
-            "paid_exceeds_due": paid > due,
-            "paid_with_open_amount": (status == "paid") & (due != paid),
-            "unpaid_with_payment": (status == "unpaid") & (paid != 0),
-            "part_paid_in_full_or_not_at_all": (status == "part_paid") & ((paid == 0) | (due == paid)),
-        },
-    )
+def billing_rules() -> Checks:
+    status, due, paid = F.trim("status"), F.col("amount_due"), F.col("amount_paid")
+    return {
+        "paid_exceeds_due": paid > due,
+        "paid_with_open_amount": (status == "paid") & (due != paid),
+        "unpaid_with_payment": (status == "unpaid") & (paid != 0),
+        "part_paid_in_full_or_not_at_all": (status == "part_paid") & ((paid == 0) | (due == paid)),
+    }
+
+
+def support_rules() -> Checks:
+    created, resolved = F.col("created_at"), F.col("resolved_at")
+    return {"open_ticket": resolved.isNull(), "resolved_not_after_created": resolved <= created}
+
+
+def usage_rules() -> Checks:
+    measures = ["call_count", "call_minutes", "concurrent_peak"]
+    return {**null_checks(measures), **{f"{m}_is_negative": F.col(m) < 0 for m in measures}}
+
+
+def profile(raw: Tables, as_of: date) -> DataFrame:
+    """All null checks and rules of every table, each table read once."""
+    rules = {
+        "subscriptions": subscription_rules(as_of),
+        "billings": billing_rules(),
+        "support_contacts": support_rules(),
+        "portal_events": {},
+        "usage_daily": usage_rules(),
+    }
+    return _stack([violations(raw[t], t, {**null_checks(REQUIRED[t]), **rules[t]}) for t in rules])
 
 
 def value_ranges(staged: Tables) -> DataFrame:
@@ -115,24 +133,6 @@ def value_ranges(staged: Tables) -> DataFrame:
     )
 
 
-def support_rules(support: DataFrame) -> DataFrame:
-    created, resolved = F.col("created_at"), F.col("resolved_at")
-    return violations(
-        support,
-        "support_contacts",
-        {"open_ticket": resolved.isNull(), "resolved_not_after_created": resolved <= created},
-    )
-
-
-def usage_rules(usage: DataFrame) -> DataFrame:
-    measures = ["call_count", "call_minutes", "concurrent_peak"]
-    return violations(
-        usage,
-        "usage_daily",
-        {**null_checks(measures), **{f"{m}_is_negative": F.col(m) < 0 for m in measures}},
-    )
-
-
 def attribution(portal: DataFrame) -> DataFrame:
     return counts(portal, ["is_unattributed_flag"])
 
