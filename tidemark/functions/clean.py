@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def whole(name: str) -> Column:
-    return F.col(name).cast("bigint").alias(name)
+class Raw:
+    """Columns of one raw table in their staged types.
 
+    A column that has its type already is passed as it is: an alias without effect would make equal subplans differ,
+    and Spark would no longer see that it can share their shuffles.
+    """
 
-def whole_from_decimal(name: str) -> Column:
-    """An id that arrives as decimal text ('57.0'): rounded, as a plain cast to integer would cut or raise."""
-    return F.round(F.col(name).cast("decimal(38,2)"), 0).cast("bigint").alias(name)
+    def __init__(self, df: DataFrame):
+        self.types = dict(df.dtypes)
 
+    def _as(self, name: str, target: str) -> Column:
+        return F.col(name) if self.types[name] == target else F.col(name).cast(target).alias(name)
 
-def text(name: str) -> Column:
-    return F.trim(F.col(name)).alias(name)
+    def whole(self, name: str) -> Column:
+        return self._as(name, "bigint")
 
+    def whole_from_decimal(self, name: str) -> Column:
+        """An id that arrives as decimal text ('57.0'): rounded, as a plain cast to integer would cut or raise."""
+        return F.round(F.col(name).cast("decimal(38,2)"), 0).cast("bigint").alias(name)
 
-def money(name: str) -> Column:
-    return F.col(name).cast("decimal(10,2)").alias(name)
+    def text(self, name: str) -> Column:
+        return F.trim(F.col(name)).alias(name)
 
+    def money(self, name: str) -> Column:
+        return self._as(name, "decimal(10,2)")
 
-def calendar_day(name: str) -> Column:
-    return F.col(name).cast("date").alias(name)
+    def calendar_day(self, name: str) -> Column:
+        return self._as(name, "date")
 
-
-def moment(name: str) -> Column:
-    return F.col(name).cast("timestamp_ntz").alias(name)
+    def moment(self, name: str) -> Column:
+        return self._as(name, "timestamp_ntz")

@@ -69,12 +69,12 @@ def usage_flags(
     sizing: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Per base subscription: did call minutes drop between the two halves of the window, did concurrency peak?
+    """Per base subscription with usage in its window: did call minutes drop between the halves, did concurrency peak?
 
-    Usage, the largest table, is shuffled once, to the base row of its subscription. Only if ``sizing`` (the
-    subscription of each usage row, or of a cheaper frame with at least as many) shows a subscription too large for
-    that, usage is first rolled up per day, so that no subscription has more rows than days. Days without calls
-    report a default peak and do not count.
+    Usage, the largest table, is shuffled once at most, to the base row of its subscription; where AQE measures the
+    base as small it is broadcast instead. Only if ``sizing`` (the subscription of each usage row, or of a cheaper
+    frame with at least as many) shows a subscription too large for that, usage is first rolled up per day, so that
+    no subscription has more rows than days. Days without calls report a default peak and do not count.
     """
     daily = usage.select(
         "subscription_id",
@@ -86,13 +86,16 @@ def usage_flags(
     if has_hot_key(keys, ["subscription_id"], hot_rows):
         daily = daily.groupBy("subscription_id", "usage_date").agg(F.sum("minutes").alias("minutes"), F.max("peak").alias("peak"))
     reference, used = F.col("reference_date"), F.col("usage_date")
-    in_window = (used < reference) & (used >= F.date_sub(reference, window_days))
     is_recent = used >= F.date_sub(reference, recent_days)
-    joined = base.alias("b").join(daily.alias("u"), (F.col("b.subscription_id") == F.col("u.subscription_id")) & in_window, "left")
-    sums = joined.groupBy("b.subscription_id", "is_churned").agg(
-        F.coalesce(F.sum(F.when(is_recent, F.col("minutes"))), F.lit(0)).alias("recent"),
-        F.coalesce(F.sum(F.when(~is_recent, F.col("minutes"))), F.lit(0)).alias("prior"),
-        F.max("peak").alias("peak"),
+    sums = (
+        daily.join(base.select("subscription_id", "is_churned", "reference_date"), "subscription_id")
+        .where((used < reference) & (used >= F.date_sub(reference, window_days)))
+        .groupBy("subscription_id", "is_churned")
+        .agg(
+            F.coalesce(F.sum(F.when(is_recent, F.col("minutes"))), F.lit(0)).alias("recent"),
+            F.coalesce(F.sum(F.when(~is_recent, F.col("minutes"))), F.lit(0)).alias("prior"),
+            F.max("peak").alias("peak"),
+        )
     )
     # compared as a product: exact in decimals, and no division by zero
     threshold = F.lit(str(drop_threshold)).cast("decimal(5,4)")
@@ -105,35 +108,9 @@ def usage_flags(
     )
 
 
-def _scan_rows(counted: DataFrame, signals: dict[str, str], flags: dict[str, Column]) -> DataFrame:
-    """Four counts per signal from rows with totals ``churned`` and ``active``, in one aggregate."""
-    totals = ["churned", "active"]
-    sums = counted.agg(
-        *[F.sum(t).alias(f"{t}_total") for t in totals],
-        *[F.sum(F.when(flags[m], F.col(t))).alias(f"{t}_{m}") for m in signals for t in totals],
-    )
-
-    def n(name: str) -> Column:
-        return F.coalesce(name, F.lit(0)).cast("bigint")
-
-    rows = [
-        F.struct(
-            F.lit(name).alias("signal_name"),
-            n("churned_total").alias("churned_total"),
-            n(f"churned_{mark}").alias("churned_with_signal"),
-            n("active_total").alias("active_total"),
-            n(f"active_{mark}").alias("active_with_signal"),
-        )
-        for mark, name in signals.items()
-    ]
-    return sums.select(F.inline(F.array(*rows)))
-
-
-def _churned_active() -> list[Column]:
-    return [
-        F.when(F.col("is_churned"), 1).otherwise(0).alias("churned"),
-        F.when(F.col("is_churned"), 0).otherwise(1).alias("active"),
-    ]
+def _counts() -> list[Column]:
+    """One subscription as a count of churned and a count of active ones."""
+    return [F.when(F.col("is_churned"), one).otherwise(1 - one).alias(name) for name, one in (("churned", 1), ("active", 0))]
 
 
 def leading_indicator_scan(
@@ -152,28 +129,48 @@ def leading_indicator_scan(
     """Six signals: how many churned and how many retained subscriptions show them, and the ratio of the two rates.
 
     The four customer signals need no join to the base: its rows enter as counts per customer and reference date.
-    Every source is read once. ``base`` has one row per subscription.
+    Every source is read once, and one aggregate counts all signals. ``base`` has one row per subscription.
     """
     sightings = reduce(
         lambda a, b: a.unionByName(b, True),
         [support_sightings(support), portal_sightings(portal), billing_sightings(billings)],
     )
-    anchors = base.select("customer_id", "reference_date", *_churned_active())
+    anchors = base.select("customer_id", "reference_date", *_counts())
     seen = last_seen_before(
         anchors, sightings, "customer_id", "reference_date", ["churned", "active"], list(CUSTOMER_SIGNALS)
+    ).select(
+        "churned",
+        "active",
+        F.col("churned").alias("all_churned"),
+        F.col("active").alias("all_active"),
+        *[within(m, "reference_date", window_days).alias(m) for m in CUSTOMER_SIGNALS],
     )
-    by_customer = _scan_rows(
-        seen, CUSTOMER_SIGNALS, {m: within(m, "reference_date", window_days) for m in CUSTOMER_SIGNALS}
-    )
-    flagged = usage_flags(
+    # usage rows add to their signals only; the totals come from the anchors
+    used = usage_flags(
         base, usage, window_days, recent_days, drop_threshold, peak_threshold, usage_sizing, hot_rows
+    ).select(*_counts(), *USAGE_SIGNALS)
+
+    def total(column: Column, name: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+
+    signals = {**CUSTOMER_SIGNALS, **USAGE_SIGNALS}
+    sums = used.unionByName(seen, allowMissingColumns=True).agg(
+        *[total(F.col(f"all_{group}"), group) for group in ("churned", "active")],
+        *[total(F.when(F.col(m), F.col(group)), f"{group}_{m}") for m in signals for group in ("churned", "active")],
     )
-    by_usage = _scan_rows(
-        flagged.select("*", *_churned_active()), USAGE_SIGNALS, {m: F.col(m) for m in USAGE_SIGNALS}
-    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("signal_name"),
+            F.col("churned").alias("churned_total"),
+            F.col(f"churned_{mark}").alias("churned_with_signal"),
+            F.col("active").alias("active_total"),
+            F.col(f"active_{mark}").alias("active_with_signal"),
+        )
+        for mark, name in signals.items()
+    ]
     c = F.col
     return (
-        by_customer.unionByName(by_usage)
+        sums.select(F.inline(F.array(*rows)))
         .select(
             "signal_name",
             "churned_total",

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import calendar_day, moment, money, text, whole, whole_from_decimal
+from tidemark.functions.clean import Raw
 from tidemark.functions.dates import day, days_between, hours_crossed
 from tidemark.operators.dedup import one_row_per_key
 from tidemark.operators.snapshot import VERSION_COLUMNS, snapshot
@@ -31,28 +31,30 @@ def subscription_history(current: DataFrame, history: DataFrame | None, loaded_a
 
 
 def stage_customers(history: DataFrame, as_of: date) -> DataFrame:
+    raw = Raw(history)
     return history.select(
-        whole("customer_id"),
-        calendar_day("signup_date"),
-        text("region"),
-        text("acquisition_channel"),
-        text("size_band"),
+        raw.whole("customer_id"),
+        raw.calendar_day("signup_date"),
+        raw.text("region"),
+        raw.text("acquisition_channel"),
+        raw.text("size_band"),
         days_between(F.col("signup_date"), day(as_of)).alias("customer_tenure_days"),
         *VERSION_COLUMNS,
     )
 
 
 def _subscription_columns(rows: DataFrame) -> DataFrame:
+    raw = Raw(rows)
     return rows.select(
-        whole("subscription_id"),
-        whole("customer_id"),
-        text("product_type"),
-        text("plan"),
-        money("mrr"),
-        calendar_day("go_live_date"),
-        text("status"),
-        calendar_day("cancelled_date"),
-        whole("contract_term_months"),
+        raw.whole("subscription_id"),
+        raw.whole("customer_id"),
+        raw.text("product_type"),
+        raw.text("plan"),
+        raw.money("mrr"),
+        raw.calendar_day("go_live_date"),
+        raw.text("status"),
+        raw.calendar_day("cancelled_date"),
+        raw.whole("contract_term_months"),
         *VERSION_COLUMNS,
     )
 
@@ -72,48 +74,53 @@ def stage_subscriptions(history: DataFrame, as_of: date) -> DataFrame:
 
 def subscription_groups(history: DataFrame) -> DataFrame:
     """Customer and product of every stored version: an upper bound of the group sizes without the deduplication."""
-    return history.select(whole("customer_id"), text("product_type"))
+    raw = Raw(history)
+    return history.select(raw.whole("customer_id"), raw.text("product_type"))
 
 
-def stage_billings(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        whole("invoice_id"),
-        whole("customer_id"),
-        calendar_day("period_month"),
-        money("amount_due"),
-        money("amount_paid"),
-        text("status"),
+def stage_billings(rows: DataFrame) -> DataFrame:
+    raw = Raw(rows)
+    return rows.select(
+        raw.whole("invoice_id"),
+        raw.whole("customer_id"),
+        raw.calendar_day("period_month"),
+        raw.money("amount_due"),
+        raw.money("amount_paid"),
+        raw.text("status"),
     )
 
 
-def stage_support_contacts(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        whole("contact_id"),
-        whole("customer_id"),
-        moment("created_at"),
-        text("channel"),
-        text("category"),
-        moment("resolved_at"),
+def stage_support_contacts(rows: DataFrame) -> DataFrame:
+    raw = Raw(rows)
+    return rows.select(
+        raw.whole("contact_id"),
+        raw.whole("customer_id"),
+        raw.moment("created_at"),
+        raw.text("channel"),
+        raw.text("category"),
+        raw.moment("resolved_at"),
         F.col("resolved_at").isNull().alias("is_unresolved_flag"),
         hours_crossed(F.col("created_at"), F.col("resolved_at")).alias("resolution_hours"),
     )
 
 
-def stage_portal_events(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        whole("event_id"),
-        whole_from_decimal("customer_id"),
-        text("event_type"),
-        moment("event_timestamp"),
+def stage_portal_events(rows: DataFrame) -> DataFrame:
+    raw = Raw(rows)
+    return rows.select(
+        raw.whole("event_id"),
+        raw.whole_from_decimal("customer_id"),
+        raw.text("event_type"),
+        raw.moment("event_timestamp"),
         F.col("customer_id").isNull().alias("is_unattributed_flag"),
     )
 
 
-def stage_usage_daily(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        whole("subscription_id"),
-        calendar_day("usage_date"),
-        whole("call_count"),
-        money("call_minutes"),
-        whole("concurrent_peak"),
+def stage_usage_daily(rows: DataFrame) -> DataFrame:
+    raw = Raw(rows)
+    return rows.select(
+        raw.whole("subscription_id"),
+        raw.calendar_day("usage_date"),
+        raw.whole("call_count"),
+        raw.money("call_minutes"),
+        raw.whole("concurrent_peak"),
     )
