@@ -57,7 +57,7 @@ def model_lifecycle(given):
 def test_lifecycle_facts_and_churn(spark, seed, hot_rows):
     given = list(some_subscriptions(random.Random(seed), 120))
     df = subscriptions(spark, *given)
-    out = subscription_lifecycle(df, df, hot_rows=hot_rows, id_span=10).cache()
+    out = subscription_lifecycle(df, df, hot_rows=hot_rows, id_bits=(3, 5)).cache()
     states = model_lifecycle(given)
     assert dict(rows(out, "subscription_id", "lifecycle_state")) == states
 
@@ -123,10 +123,16 @@ def test_counts_agree_with_each_other(spark):
 
 
 @pytest.mark.parametrize(
-    "setting", [("spark.sql.adaptive.enabled", "false"), ("spark.sql.ansi.enabled", "false"), ("spark.sql.session.timeZone", "Asia/Tokyo")]
+    "setting",
+    [
+        ("spark.sql.adaptive.enabled", "false"),
+        ("spark.sql.ansi.enabled", "false"),
+        ("spark.sql.session.timeZone", "Asia/Tokyo"),
+    ],
 )
 def test_results_do_not_depend_on_session_settings(spark, setting):
-    names = ["stg_support_contacts", "churn_metrics", "leading_indicator_scan", "snapshot_subscriptions", "dash_at_risk_customers"]
+    names = ["stg_support_contacts", "churn_metrics", "leading_indicator_scan", "snapshot_subscriptions"]
+    names += ["dash_at_risk_customers"]
     before = {name: rows(contract.queries()[name](spark, SF)) for name in names}
     kept = spark.conf.get(setting[0])
     spark.conf.set(*setting)

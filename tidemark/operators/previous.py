@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.hot_keys import HOT_ROWS, has_hot_key, hot_keys, only_hot, without_hot
 
-ID_SPAN = 1_000_000
+ID_BITS = (21, 42)
 
 
 def with_previous(
@@ -18,11 +18,11 @@ def with_previous(
     values: list[str],
     sizing: DataFrame,
     hot_rows: int = HOT_ROWS,
-    id_span: int = ID_SPAN,
+    id_bits: tuple[int, ...] = ID_BITS,
 ) -> DataFrame:
     """Add ``prev_<value>``: the value one row earlier within ``group``, ordered by day (nulls last), then row id.
 
-    ``row_id`` is unique. ``sizing`` has the group columns in a frame that is cheap to scan; if it shows no group of
+    ``row_id`` is a unique whole number. ``sizing`` has the group columns in a frame that is cheap to scan; if it shows no group of
     more than ``hot_rows`` rows, one window does it all. Otherwise the large groups are split off, see below.
     """
     order = [F.col(day).asc_nulls_last(), F.col(row_id).asc_nulls_last()]
@@ -35,30 +35,27 @@ def with_previous(
     if not has_hot_key(sizing, group, hot_rows):
         return plain(df)
 
-    # A large group is cut into blocks of one day and id_span consecutive ids. Inner rows of a block are settled there;
-    # only its first and last row go on to a window over the day, and only a day's first and last row to a window
-    # over the group. So the windows hold at most id_span rows, two rows per block, and two rows per day.
+    # A large group is cut into cells: ids that share their high bits on one day, then longer ranges of ids on one day,
+    # then whole days, then the group. In each cell the rows after the first are settled, unless they end the cell;
+    # only first and last rows go on to the next, larger cells. So the windows hold at most 2^21 rows, two rows for each
+    # of 2^21 and 2^22 smaller cells (for any 64-bit ids), and two rows per day.
+    ranges = [f"_range_{bits}" for bits in id_bits]
+    cells = [[day, *ranges[i:]] for i in range(len(ranges))] + [[day], []]
     hot = hot_keys(sizing, group, hot_rows)
-
-    def level(rows: DataFrame, found, *cells: str) -> DataFrame:
-        within = Window.partitionBy(*group, *cells).orderBy(*order)
-        return rows.select(
+    rows = only_hot(df, hot, group).withColumns(
+        {name: F.shiftright(F.col(row_id), bits) for name, bits in zip(ranges, id_bits)}
+    )
+    result = plain(without_hot(df, hot, group))
+    for cell in cells:
+        within = Window.partitionBy(*group, *cell).orderBy(*order)
+        here = previous.over(within)
+        rows = rows.select(
             *df.columns,
-            "_block",
-            found(previous.over(within)).alias("_previous"),
-            (previous.over(within).isNull() | F.lead(F.lit(True)).over(within).isNull()).alias("_at_end"),
+            *ranges,
+            (F.coalesce("_previous", here) if "_previous" in rows.columns else here).alias("_previous"),
+            (here.isNull() | F.lead(F.lit(True)).over(within).isNull()).alias("_at_end"),
         )
-
-    def settled(rows: DataFrame) -> DataFrame:
-        return rows.select(*df.columns, *[F.col(f"_previous.{v}").alias(f"prev_{v}") for v in values])
-
-    blocks = only_hot(df, hot, group).withColumn("_block", F.floor(F.col(row_id) / id_span))
-    in_block = level(blocks, lambda here: here, day, "_block")
-    in_day = level(in_block.where("_at_end"), lambda here: F.coalesce("_previous", here), day)
-    in_group = level(in_day.where("_at_end"), lambda here: F.coalesce("_previous", here))
-    return (
-        plain(without_hot(df, hot, group))
-        .unionByName(settled(in_block.where("NOT _at_end")))
-        .unionByName(settled(in_day.where("NOT _at_end")))
-        .unionByName(settled(in_group))
-    )
+        done = rows.where("NOT _at_end") if cell else rows
+        result = result.unionByName(done.select(*df.columns, *[F.col(f"_previous.{v}").alias(f"prev_{v}") for v in values]))
+        rows = rows.where("_at_end")
+    return result
