@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, signature_tree
+from tidemark.llm import exact_dedup, separators, signature_tree, wavelet
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+END_OF_TEXT = 50256  # free in BYTE_RANKS
+END_OF_DOCUMENT = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wavelet.token_ids(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_OF_DOCUMENT)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(_table(spark, sf_dir, "documents"), BYTE_RANKS, END_OF_TEXT)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -35,7 +51,7 @@ from texts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
