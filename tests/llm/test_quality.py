@@ -1,0 +1,51 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from tidemark.llm import queries, ranking
+
+
+def test_held_out_documents_are_ranked_and_cut_well(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.op7_quality_classifier(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert len(rows) == docs
+    good = {r.doc_id: r.quality == 1 for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    held = [(r.score, r.predicted, good[r.doc_id]) for r in rows if r.held_out and r.doc_id in good]
+    above = [a > b for a, _, x in held for b, _, y in held if x and not y]
+    assert np.mean(above) > 0.95
+    assert np.mean([p == y for _, p, y in held]) > 0.95
+
+
+def test_features_of_odd_texts():
+    texts = [None, "", " \n", "ÄÖ!!", "a " * 50_000, "x" * 100_000, "###"]
+    x = ranking.features(pa.array(texts, pa.string()))
+    assert np.isfinite(x).all() and (x[:2] == x[0]).all()
+    assert (ranking.features(pa.array([], pa.string())).shape) == (0, ranking.FEATURES)
+
+
+DOCS = "doc_id long, text string, score double, x string"
+ROWS = [(1, "Good text here", 1.0, "a"), (None, None, None, None), (3, "", 2.0, None), (1, "Good text here", 1.0, "a")]
+
+
+def test_odd_rows_and_no_labels(spark):
+    docs = spark.createDataFrame(ROWS, DOCS)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = ranking.quality(docs, none).collect()
+    assert len(rows) == 4 and all(r.predicted == 1 for r in rows)
+    assert ranking.keep_good(docs, none).columns == docs.columns and ranking.keep_good(docs, none).count() == 4
+    some = spark.createDataFrame([(1, 1, None), (None, 0, 1), (3, None, 1)], "doc_id long, quality int, toxic int")
+    assert all(r.predicted == 1 for r in ranking.quality(docs, some).collect())
+    assert ranking.quality(docs.limit(0), none).collect() == []
+
+
+def test_only_pairs_of_both_kinds_teach():
+    x = np.zeros((10, ranking.FEATURES))
+    x[:5, 8] = 1
+    x[:, ranking.KINDS] = 9
+    model = ranking.fit(x, np.arange(10) < 5)
+    assert (model.score(x[:5]) >= ranking.CUT).all() and (model.score(x[5:]) < ranking.CUT).all()
+    assert (ranking.fit(x, np.zeros(10, bool)).score(x) < ranking.CUT).all()

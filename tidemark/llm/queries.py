@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, separators, signature_tree, wavelet
+from tidemark.llm import exact_dedup, ranking, separators, signature_tree, topk, wavelet
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,9 +58,27 @@ from texts
 """
 
 
+# a list is compared component by component; the pairs are those of the stated query set with all rows
+TOP_K_SQL = """
+with parts as (
+  select vec_id, embedding, [floor(1024 * x::double) for x in embedding] as v from embeddings
+  where embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x::double)]) = 0
+),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from parts q join parts c on q.vec_id <> c.vec_id
+  where q.vec_id % 100 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op3_exact_dedup": EXACT_DEDUP_SQL, "op8_exact_top_k": TOP_K_SQL}
