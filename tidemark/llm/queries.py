@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, ranking, separators, signature_tree, topk, wavelet
+from tidemark.llm import exact_dedup, ordinal, ranking, separators, signature_tree, topk, wavelet
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,10 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -77,7 +81,7 @@ where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
