@@ -1,0 +1,85 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm import brute
+from tidemark.llm import signature_tree as tree
+from tidemark.llm.components import components
+
+
+def found(df, **options):
+    return sorted(tuple(r) for r in tree.near_duplicates(df, **options).collect())
+
+
+@pytest.mark.parametrize("chunk", [tree.CHUNK, 3])
+def test_links_equal_those_of_all_pairs(spark, chunk):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    # a family of near copies, some of which are linked only by way of others, larger than a chunk
+    words = [f"w{i}" for i in range(150)]
+    for i in range(24):
+        rows.append((10_000 + i, " ".join([*words[i:], *[f"x{j}" for j in range(i)]])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df, chunk=chunk) == brute.jaccard_components(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(5, "One two three"), (3, "one TWO three"), (9, "one two"), (4, None), (7, ""), (8, " \n"), (2, "a " * 20_000),
+            (1, "a " * 30_000), (3, "one two three"), (6, "a a a a a"), (11, "k l m n o"), (12, "k l m n o p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "'' as digest", "2 as node")
+    assert found(df) == brute.jaccard_components(rows)
+    assert found(df.limit(0)) == []
+    unnamed = spark.createDataFrame([(None, "q r s t u"), (None, None), (4, "q r s t u")], "doc_id long, text string")
+    got = sorted((tuple(r) for r in tree.near_duplicates(unnamed).collect()), key=str)
+    assert got == sorted([(None, 1, 4), (4, 1, 4), (None, 0, None)], key=str)
+
+
+def test_frequent_shingles_come_last_and_change_no_result(spark, monkeypatch):
+    line = "this very common line stands in every one of these documents again and again"
+    rows = [(i, f"{line} " + " ".join(f"w{i // 2}_{j + 3 * (i % 2)}" for j in range(80))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    levels = np.zeros(1 << tree.CELL_BITS, np.uint8)
+    for h in tree._sets(pa.array([line]), tree.SHINGLE):
+        levels[(h >> np.uint64(64 - tree.CELL_BITS)).astype(np.int64)] = 3
+    want = brute.jaccard_components(rows)
+    for table in (levels, np.full(1 << tree.CELL_BITS, 2, np.uint8)):
+        monkeypatch.setattr(tree, "frequency_levels", lambda docs, size, table=table: table)
+        assert found(df) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(1, 60), st.integers(0, 12)), min_size=1, max_size=40), st.integers(0, 9))
+def test_trees_find_every_link(spec, seed):
+    rng = np.random.default_rng(seed)
+    pools = [rng.integers(0, 2**63, 80).astype(np.uint64) for _ in range(5)]
+    sets = []
+    for pool, size, drop in spec:
+        extra = rng.integers(0, 2**63, drop).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([pools[pool][: max(1, size)], extra])))
+    n = len(sets)
+    sides, known = np.full(n, -1), np.arange(n)
+    linked = [
+        (i, j)
+        for i in range(n)
+        for j in range(i)
+        if 180 * len(np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]))
+    ]
+    keep = tree.hopeful(np.array([len(s) for s in sets]), [tree.signature(s) for s in sets], known, sides)
+    assert all(keep[i] and keep[j] for i, j in linked)
+    groups, want = tree.Groups(known), tree.Groups(known)
+    for i, j in tree.links_of(sets, known, sides, -1):
+        assert (max(i, j), min(i, j)) in linked
+        groups.join(i, j)
+    for i, j in linked:
+        want.join(i, j)
+    assert all((groups.of[i] == groups.of[j]) == (want.of[i] == want.of[j]) for i in range(n) for j in range(n))
+
+
+def test_components(spark):
+    links = [(1, 2), (3, 2), (9, 9), (5, 4), *[(i, i + 1) for i in range(100, 140)], *[(500, i) for i in range(501, 560)]]
+    got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert [got[i] for i in (1, 2, 3, 9, 4, 5)] == [1, 1, 1, 9, 4, 4]
+    assert {got[i] for i in range(100, 141)} == {100} and {got[i] for i in range(500, 560)} == {500}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

@@ -413,12 +413,12 @@ def join_cells(members: DataFrame, reps: DataFrame, docs: DataFrame, size: int)
             a, b = node[[x for x, _ in found]], node[[y for _, y in found]]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    signed = members.join(reps.select("node", "n", "signature"), "node")
+    signed = members.hint("merge").join(reps.select("node", "n", "signature"), "node")
     signed = signed.select(*[x.split()[0] for x in MEMBERS.split(", ")], "n", "signature")
     left = signed.repartition("part").sortWithinPartitions("part").mapInArrow(filtered, MEMBERS)
     left = written(left, "hopeful")
     sets = shingle_sets(docs, left.select("node").distinct().join(reps.select("node", "doc_id", "digest"), "node"), size)
-    whole = left.join(sets, "node").select(*left.columns, "hashes")
+    whole = left.hint("merge").join(sets, "node").select(*left.columns, "hashes")
     return written(whole.repartition("part").sortWithinPartitions("part").mapInArrow(exact, "a long, b long"), "links")
 
 
@@ -451,7 +451,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         " >> cast(position % 8 as int)) & 1 = 1"
     )
     again = marked.select("doc_id", "text").mapInArrow(rows, "doc_id long, digest binary, hashes binary")
-    found = again.join(wanted.withColumnRenamed("doc_id", "id"), "digest").where(F.col("doc_id").eqNullSafe(F.col("id")))
+    found = again.join(wanted.hint("merge").withColumnRenamed("doc_id", "id"), "digest").where(F.col("doc_id").eqNullSafe(F.col("id")))
     return found.select("node", "hashes").dropDuplicates(["node"])
 
 
@@ -500,7 +500,7 @@ def near_duplicates(
     rows = written(shingle_rows(docs, size).withColumn("row", F.monotonically_increasing_id()), "shingles")
     classes = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     classes = written(classes, "classes")
-    reps = rows.join(classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
+    reps = rows.join(classes.hint("merge").select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
     reps = written(reps.select("node", "doc_id", "n", "digest", "keys", "frequent", "signature"), "nodes")
 
     first, split = _chunked(_cells(reps), chunk)
