@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, ordinal, ranking, separators, signature_tree, topk, wavelet
+from tidemark.llm import exact_dedup, ordinal, ranking, separators, signature_tree, topk, viterbi, wavelet
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_OF_TEXT = 50256  # free in BYTE_RANKS
 END_OF_DOCUMENT = 2
 
@@ -25,6 +26,18 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_and_back(_table(spark, sf_dir, "documents"))
+
+
+def encoded_and_back(docs: DataFrame) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32 and round_trip (the decoded text is the one that was encoded) of every row."""
+    docs = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("given"))
+    back = viterbi.decode(viterbi.encode(docs, PIECE_MODEL, carry=("given",)), PIECE_MODEL)
+    same = F.md5(F.col("text").cast("binary")) == F.col("given")
+    return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), same.alias("round_trip"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"), BYTE_RANKS, END_OF_TEXT)
 
@@ -81,7 +94,7 @@ where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op4_sentencepiece_viterbi, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
