@@ -25,6 +25,7 @@ from tidemark.llm.shared import crc_remainder, ship
 
 VOCABULARY = 4_096  # words with the largest difference; each with a z of at least LEAST_Z
 LEAST_Z = 4.0
+MARKER = np.log(10)
 CUTS = (2, 4)  # markers in a toxic document from which its grade is 2, and 3
 TOXIC_FROM = 0.3  # probability of a grade above 0; to miss a toxic document is worse than to report a clean one
 
@@ -117,34 +118,37 @@ def fit_thresholds_and_weights(
     return p[:words], p[words] + np.concatenate([[0], np.cumsum(np.exp(p[words + 1 :]))])
 
 
-def _telling_words(chosen: DataFrame) -> list[tuple[bytes, float]]:
-    """Words with the largest |z| between the shares of toxic and of other documents that have them."""
+def telling_terms(chosen: DataFrame, column: str) -> list[tuple[bytes, float, float]]:
+    """Terms with the largest |z| between the shares of documents with ``column`` > 0 and of others that have them.
+
+    With each its z and the logarithm of the ratio of the two shares.
+    """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.slices(batches, "text"):
             found, per_text = letter_runs(batch["text"])
             numbers, distinct = w.coded(found)
             owner = np.repeat(np.arange(batch.num_rows), per_text)
-            toxic_text = batch["toxic"].to_numpy(zero_copy_only=False) > 0
+            marked_text = batch[column].to_numpy(zero_copy_only=False) > 0
             for places, names in terms(distinct):
                 coded = names.dictionary_encode()
                 code = np.full(len(distinct), -1, np.int64)
                 code[places] = coded.indices.to_numpy()
                 size, of_word = max(1, len(coded.dictionary)), code[numbers] if len(numbers) else code
                 cell = np.unique(owner[of_word >= 0] * size + of_word[of_word >= 0])
-                toxic = toxic_text[cell // size]
-                split = [np.bincount(cell[x] % size, minlength=len(coded.dictionary)) for x in (toxic, ~toxic)]
+                marked = marked_text[cell // size]
+                split = [np.bincount(cell[x] % size, minlength=len(coded.dictionary)) for x in (marked, ~marked)]
                 columns = [coded.dictionary, *[pa.array(x, pa.int64()) for x in split]]
                 yield pa.RecordBatch.from_arrays(columns, ["word", "marked", "other"])
 
-    size = chosen.agg(F.count_if(F.col("toxic") > 0).alias("marked"), F.count_if(F.col("toxic") <= 0).alias("other")).first()
+    size = chosen.agg(F.count_if(F.col(column) > 0).alias("marked"), F.count_if(F.col(column) <= 0).alias("other")).first()
     if not size.marked or not size.other:
         return []
     p, q = F.col("marked") / size.marked, F.col("other") / size.other
     both = (F.col("marked") + F.col("other")) / (size.marked + size.other)
     spread = F.sqrt(both * (1 - both) * (1 / size.marked + 1 / size.other)) + F.lit(1e-9)
     rows = (
-        chosen.select("toxic", "text")
+        chosen.select(column, "text")
         .mapInArrow(counts, "word binary, marked long, other long")
         .groupBy("word")
         .agg(F.sum("marked").alias("marked"), F.sum("other").alias("other"))
@@ -154,7 +158,11 @@ def _telling_words(chosen: DataFrame) -> list[tuple[bytes, float]]:
         .limit(VOCABULARY)
         .collect()
     )
-    return [(bytes(r.word), r.z) for r in rows]
+
+    def ratio(marked: int, other: int) -> float:
+        return float(np.log((marked + 0.5) / (size.marked + 1)) - np.log((other + 0.5) / (size.other + 1)))
+
+    return [(bytes(r.word), r.z, ratio(r.marked, r.other)) for r in rows]
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = labelled.SAMPLE) -> Severity:
@@ -164,9 +172,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = labell
     ship(docs.sparkSession)
     chosen = labelled.sample(docs, labels, ["toxic"], usable, most, "toxicity").select("doc_id", "toxic", "text")
     chosen = chosen.withColumn("toxic", F.col("toxic").cast("int"))
-    telling = _telling_words(chosen)
-    vocabulary = [word for word, _ in telling]
-    marker = np.array([z > 0 for _, z in telling], dtype=bool)
+    telling = telling_terms(chosen, "toxic")
+    vocabulary = [word for word, _, _ in telling]
+    marker = np.array([ratio > MARKER for _, _, ratio in telling], dtype=bool)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocabulary, pa.binary())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, ordinal, ranking, separators, signature_tree, topk, viterbi, wavelet
+from tidemark.llm import exact_dedup, mixing, ordinal, ranking, separators, signature_tree, topk, viterbi, wavelet
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -38,6 +38,21 @@ def encoded_and_back(docs: DataFrame) -> DataFrame:
     return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), same.alias("round_trip"))
 
 
+DOMAINS = ["clean", "low", "toxic"]
+TARGETS = {"clean": 0.90, "low": 0.06, "toxic": 0.04}
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and the place in DOMAINS that the two labels say."""
+    domain = F.when(F.col("toxic") > 0, 2).when(F.col("quality") > 0, 0).otherwise(1)
+    return labels.where("toxic is not null and quality is not null").select("doc_id", domain.alias("domain"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), domain_labels(_table(spark, sf_dir, "labels"))
+    return mixing.rates_of(docs, mixing.train(docs, labels, DOMAINS, F.lit(True)), TARGETS)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"), BYTE_RANKS, END_OF_TEXT)
 
@@ -94,7 +109,7 @@ where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op4_sentencepiece_viterbi, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op4_sentencepiece_viterbi, op5_mixing, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
