@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, ordinal, ranking, separators, signature_tree, topk, viterbi, wavelet
+from tidemark.llm import exact_dedup, mixing, ordinal, ranking, scoring, separators, signature_tree, topk, viterbi, wavelet
+from tidemark.llm.shared import crc_remainder
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +58,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"), BYTE_RANKS, END_OF_TEXT)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(_table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) != 2, BYTE_RANKS, END_OF_TEXT)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -109,7 +114,7 @@ where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op3_exact_dedup, op4_sentencepiece_viterbi, op5_mixing, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_token_ids, op2_lm_scoring, op3_exact_dedup, op4_sentencepiece_viterbi, op5_mixing, op6_token_counts, op7_quality_classifier, op8_exact_top_k, op9_toxicity, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
