@@ -417,17 +417,19 @@ def join_cells(members: DataFrame, reps: DataFrame, docs: DataFrame, size: int)
     signed = signed.select(*[x.split()[0] for x in MEMBERS.split(", ")], "n", "signature")
     left = signed.repartition("part").sortWithinPartitions("part").mapInArrow(filtered, MEMBERS)
     left = written(left, "hopeful")
-    sets = shingle_sets(docs, left.select("node").distinct().join(reps.select("node", "doc_id", "digest"), "node"), size)
-    whole = left.hint("merge").join(sets, "node").select(*left.columns, "hashes")
+    names = reps.select("node", "doc_id", "digest")
+    wanted = written(left.select("node").distinct().join(names, "node"), "wanted")
+    # the sets are dealt out by digest once; the few columns of the members come to them
+    named = left.join(wanted.select("node", "digest"), "node").hint("merge")
+    whole = named.join(shingle_sets(docs, wanted, size), "digest").select(*left.columns, "hashes")
     return written(whole.repartition("part").sortWithinPartitions("part").mapInArrow(exact, "a long, b long"), "links")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The whole sets (node, hashes) of the wanted nodes, made again from their texts.
+    """The whole sets (digest, hashes) of the wanted nodes, made again from their texts.
 
     A bitmap of fixed size over the wanted ids keeps most other texts from being split.
     """
-    wanted = written(wanted, "wanted")
 
     def place(df: DataFrame) -> DataFrame:
         return df.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS)))
@@ -452,7 +454,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     )
     again = marked.select("doc_id", "text").mapInArrow(rows, "doc_id long, digest binary, hashes binary")
     found = again.join(wanted.hint("merge").withColumnRenamed("doc_id", "id"), "digest").where(F.col("doc_id").eqNullSafe(F.col("id")))
-    return found.select("node", "hashes").dropDuplicates(["node"])
+    return found.select("digest", "hashes").dropDuplicates(["digest"])
 
 
 def _chunked(cells: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
