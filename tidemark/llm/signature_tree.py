@@ -520,3 +520,17 @@ def near_duplicates(
     linked = bare.where("n_shingles > 0").join(labels, "digest").select("doc_id", "n_shingles", "component_id")
     alone = bare.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone)
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that are linked to a smaller id, with all their columns as they are.
+
+    Of each component the document with the smallest id stays. Rows that share an id stay or go together: they stay if
+    one of them does. Rows without an id go only if they are all linked to rows with one.
+    """
+    found = near_duplicates(docs, id_col, text_col)
+    stays = F.max(F.col("component_id").eqNullSafe(F.col("doc_id")).cast("int"))
+    gone = written(found.groupBy("doc_id").agg(stays.alias("stays")).where("stays = 0").select("doc_id"), "linked")
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(every.alias("row"), F.col(id_col).cast("long").alias("own_id"))
+    return rows.join(gone, F.col("own_id").eqNullSafe(F.col("doc_id")), "left_anti").select("row.*")
