@@ -37,6 +37,7 @@ from tidemark.llm.shared import partitions, ship, written
 SHINGLE = 5
 CELL_BITS = 22  # counts in the table of shingle frequencies
 BLOCK = 1 << 16  # counts in one row of it
+WAITING = 2_000_000  # shingles that are counted at a time
 CHUNK = 2_000
 LEAF, FAN = 16, 8
 WANTED_BITS = 8 << 20  # of the bitmap that tells which texts are read again; a false hit costs time only
@@ -97,10 +98,16 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
     """Of each cell of the hash space: 0 for a usual number of shingles, then one more for each doubling of it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
+        cells, waiting, size_of_waiting = np.zeros(1 << CELL_BITS, dtype=np.int64), [], 0
         for batch in w.slices(batches, "text"):
             h, _ = shingle_hashes(batch["text"], size)
-            cells += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
+            waiting.append((h >> np.uint64(64 - CELL_BITS)).astype(np.int32))
+            size_of_waiting += len(h)
+            if size_of_waiting > WAITING:
+                cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
+                waiting, size_of_waiting = [], 0
+        if waiting:
+            cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
         blocks = [zlib.compress(b.tobytes(), 1) for b in cells.reshape(-1, BLOCK)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks)], ["block", "part"])
 

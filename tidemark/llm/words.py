@@ -15,7 +15,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-SLICE_BYTES = 4 << 20  # working set of one step; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # of text in one step, whose arrays take some thirty times as much; a longer text is a step of its own
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
