@@ -24,3 +24,10 @@ def session() -> SparkSession:
 @pytest.fixture(scope="session")
 def spark():
     yield session()
+
+
+@pytest.fixture(autouse=True)
+def few_rows_may_be_hot(monkeypatch):
+    from tidemark.operators import hot_keys
+
+    monkeypatch.setattr(hot_keys, "LEAST_HOT_ROWS", 0)

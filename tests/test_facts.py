@@ -9,7 +9,7 @@ TODAY = d("2024-01-20")
 
 def lifecycle(spark, *given):
     df = subscriptions(spark, *given)
-    return subscription_lifecycle(df, df)
+    return subscription_lifecycle(df)
 
 
 def cancelled(sub, go_live, end):

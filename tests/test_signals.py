@@ -23,7 +23,7 @@ def contacts(spark, *given):
 
 def complaint(spark, base, support, **options):
     seen = indicators.support_sightings(support)
-    return [s for (s,) in rows(indicators.customer_signal(base, seen, "complaint", base, **options))]
+    return [s for (s,) in rows(indicators.customer_signal(base, seen, "complaint", **options))]
 
 
 @pytest.mark.parametrize(
@@ -112,6 +112,13 @@ def test_usage_signals(spark, hot_rows):
     assert out.count() == 9  # 10 has no usage
 
 
+@pytest.mark.parametrize(("threshold", "drops"), [(-0.33337, False), (-0.33336, True), (-12.5, False)])
+def test_the_threshold_is_taken_as_given(spark, threshold, drops):
+    days = usage(spark, (1, "2024-01-05", 1, 300, 1), (1, "2024-02-05", 1, 199.99, 1), (1, "2024-02-06", 1, 0.0, 1))
+    base = base_of(spark, (1, 1, False, "2024-03-01"))
+    assert indicators.usage_flags(base, days, drop_threshold=threshold).first().usage_drop is drops
+
+
 def test_scan(spark):
     base = base_of(
         spark,

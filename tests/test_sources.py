@@ -49,29 +49,70 @@ def test_partitioned_table(spark, tmp_path):
     df = spark.createDataFrame([(i, d(f"2024-0{1 + i % 3}-01")) for i in range(90)], "id int, month date")
     back = tables.publish_table(df, str(tmp_path / "t"), "month", ("id",))
     assert rows(back) == rows(df)
-    assert len(list((tmp_path / "t").glob("month=*/*.parquet"))) == 3
+    assert len(list((tmp_path / "t").glob("*/month=*/*.parquet"))) == 3
     assert "PartitionFilters: [isnotnull(month" in back.where("month = '2024-01-01'")._jdf.queryExecution().toString()
     tables.publish_view(back, "some_view")
     assert spark.table("some_view").count() == 90
+    # a new version leaves the old one to its readers
+    tables.publish_table(df.limit(5), str(tmp_path / "t"), "month", ("id",))
+    assert back.count() == 90 and tables.current_table(spark, str(tmp_path / "t")).count() == 5
+    assert tables.current_table(spark, str(tmp_path / "none")) is None
 
 
-def test_history_keeps_every_load(spark, tmp_path):
-    root = str(tmp_path / "h")
+def test_catalogue_view(spark, tmp_path):
+    sample.customers(spark, SF).write.parquet(str(tmp_path / "c"))
+    try:
+        assert tables.publish_catalogue_view(spark, "stored_customers", str(tmp_path / "c")).count() == 150
+        assert not [t for t in spark.catalog.listTables() if t.name == "stored_customers"][0].isTemporary
+    finally:
+        spark.sql("DROP VIEW IF EXISTS stored_customers")
+
+
+H = "id bigint, v string"
+
+
+def runner(spark, root):
+    schema = tables.history_schema(spark.createDataFrame([], H).schema)
 
     def run(at, *given):
-        current = spark.createDataFrame(list(given), "id bigint, v string")
-        tables.publish_history(load(current, tables.open_versions(spark, root), "id", ["v"], at), root, at)
-        return rows(tables.read_history(spark, root), "id", "v", "valid_to")
-
-    t1, t2, t3 = (ts(f"2024-01-1{n}T00:00:00") for n in (1, 2, 3))
-    assert tables.read_history(spark, root) is None
-    assert run(t1, (1, "a"), (2, "b")) == [(1, "a", None), (2, "b", None)]
-    assert run(t2, (1, "c"), (2, "b")) == [(1, "a", t2), (1, "c", None), (2, "b", None)]
-    (tmp_path / "h" / "version=20240113T000000").mkdir()  # an unfinished load is not read and gives way
-    assert len(rows(tables.read_history(spark, root))) == 3
-    assert run(t3, (1, "d")) == [(1, "a", t2), (1, "c", t3), (1, "d", None), (2, "b", t3)]
+        current = spark.createDataFrame(list(given), H)
+        if not tables.is_stored(spark, root, at):
+            tables.publish_history(load(current, tables.open_versions(spark, root, schema), "id", ["v"], at), root, at)
+        return rows(tables.read_history(spark, root, schema), "id", "v", "valid_to")
+
+    return run, schema
+
+
+T = [ts(f"2024-01-1{n}T00:00:00") for n in range(1, 8)]
+
+
+def test_history_keeps_every_load(spark, tmp_path):
+    root = str(tmp_path / "h")
+    run, schema = runner(spark, root)
+    assert tables.read_history(spark, root, schema) is None
+    assert run(T[0], (1, "a"), (2, "b")) == [(1, "a", None), (2, "b", None)]
+    after = [(1, "a", T[1]), (1, "c", None), (2, "b", None)]
+    assert run(T[1], (1, "c"), (2, "b")) == after
+    assert run(T[1], (9, "z")) == after  # stored already: left as it is
+    (tmp_path / "h" / "version=20240113T000000000000").mkdir()  # an unfinished load is not read and gives way
+    assert len(rows(tables.read_history(spark, root, schema))) == 3
+    last = [(1, "a", T[1]), (1, "c", T[2]), (1, "d", None), (2, "b", T[2])]
+    assert run(T[2], (1, "d")) == last
     with pytest.raises(ValueError, match="already stored"):
-        run(t2, (1, "z"))
+        run(T[0].replace(hour=5), (1, "z"))
+    tables.compact_history(spark, root, schema)
+    tables.compact_history(spark, root, schema)
+    assert rows(tables.read_history(spark, root, schema), "id", "v", "valid_to") == last
+    assert run(T[3], (1, "d"), (5, "e")) == sorted([*last, (5, "e", None)], key=str)
+    assert run(T[4].replace(microsecond=7), (1, "d")) == sorted([*last, (5, "e", T[4].replace(microsecond=7))], key=str)
+
+
+def test_loads_without_any_row_do_not_lock_the_history(spark, tmp_path):
+    run, _ = runner(spark, str(tmp_path / "h"))
+    assert run(T[0]) == [] and run(T[1]) == []
+    assert run(T[2], (1, "a")) == [(1, "a", None)]
+    assert run(T[3]) == run(T[4]) == run(T[5]) == [(1, "a", T[3])]
+    assert run(T[6], (1, "a")) == [(1, "a", T[3]), (1, "a", None)]
 
 
 def test_whole_build(spark, tmp_path):
@@ -86,4 +127,9 @@ def test_whole_build(spark, tmp_path):
     # a second day with the same source: same marts, nothing closed
     again = build.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.SECOND_LOAD)
     assert again["subscription_monthly"].count() == 42178
-    assert tables.read_history(spark, str(tmp_path / "out/snapshots/subscriptions")).where("valid_to is not null").count() == 0
+    schema = tables.history_schema(raw["subscriptions"].schema)
+    history = tables.read_history(spark, str(tmp_path / "out/snapshots/subscriptions"), schema)
+    assert history.where("valid_to is not null").count() == 0
+    # frames of the first build still read what they read before, and a repeated run is no error
+    assert marts["subscription_monthly"].count() == 42178
+    build.refresh_histories(spark, raw, str(tmp_path / "out"), sample.SECOND_LOAD)

@@ -9,35 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-TRACKED_ITEMS = 2_000
-MERGE_GROUPS = 256
-
-
-def has_hot_key(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether some key (null included) has more than ``hot_rows`` rows and a share worth splitting.
-
-    One pass over the key columns with a frequent-items sketch of fixed size (some 30 KB): nothing is shuffled but one
-    sketch per task, merged in groups of tasks before the last task sees them. A key with over 0.2 % of the rows is
-    always found. The answer picks a plan, it never changes a result.
-    """
-    hashed = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % MERGE_GROUPS).alias("tasks"))
-    merged = (
-        hashed.groupBy("tasks")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_ITEMS})").alias("sketch"))
-        .groupBy(F.lit("all"))  # with a key, so that an empty input gives no row
-        .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_ITEMS})").alias("sketch"))
-        .select(F.expr("approx_top_k_estimate(sketch, 1)").alias("top"))
-        .first()
-    )
-    return merged is not None and bool(merged.top) and merged.top[0]["count"] > hot_rows
+LEAST_HOT_ROWS = 1_000  # below that a list of hot keys is too long to broadcast
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys (null included) with more than ``hot_rows`` rows, exactly.
 
     There are fewer than rows / hot_rows of them whatever the data, so the result may be broadcast:
-    10^12 rows give at most 10^6 keys.
+    10^12 rows give at most 10^6 keys. Part of the lazy plan: one narrow shuffle of key counts, combined before it.
     """
+    if hot_rows < LEAST_HOT_ROWS:
+        raise ValueError(f"hot_rows must be at least {LEAST_HOT_ROWS}")
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
@@ -58,17 +40,12 @@ def without_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(hot), _is_hot(keys), "left_anti")
 
 
-def join_unique(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, sizing: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Equi join to a right side with one row per key; ``how`` is inner, left, left_semi or left_anti.
 
-    ``sizing`` has some or all of the key columns of the left rows, in a frame that is cheap to scan. If it shows no
-    hot key this is a plain join. Otherwise rows of hot left keys stay where they are and meet a broadcast of the
-    few right rows of these keys, and all others take the plain join.
+    Rows of hot left keys stay where they are and meet a broadcast of the few right rows of these keys; all others take
+    the plain join. Both ways are part of every plan; the first is empty where no key is hot.
     """
-    if not has_hot_key(sizing, sizing.columns, hot_rows):
-        return left.join(right, keys, how)
     hot = hot_keys(left, keys, hot_rows)
     spread = without_hot(left, hot, keys).join(right, keys, how)
     local = only_hot(left, hot, keys).join(F.broadcast(only_hot(right, hot, keys)), keys, how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.hot_keys import HOT_ROWS, has_hot_key, hot_keys, only_hot, without_hot
+from tidemark.operators.hot_keys import HOT_ROWS, hot_keys, only_hot, without_hot
 
 ID_BITS = (21, 42)
 
@@ -16,14 +16,13 @@ def with_previous(
     day: str,
     row_id: str,
     values: list[str],
-    sizing: DataFrame,
     hot_rows: int = HOT_ROWS,
     id_bits: tuple[int, ...] = ID_BITS,
 ) -> DataFrame:
     """Add ``prev_<value>``: the value one row earlier within ``group``, ordered by day (nulls last), then row id.
 
-    ``row_id`` is a unique whole number. ``sizing`` has the group columns in a frame that is cheap to scan; if it shows no group of
-    more than ``hot_rows`` rows, one window does it all. Otherwise the large groups are split off, see below.
+    ``row_id`` is a unique whole number. Groups of more than ``hot_rows`` rows, counted exactly within the plan, are split
+    off, see below; one window does all others.
     """
     order = [F.col(day).asc_nulls_last(), F.col(row_id).asc_nulls_last()]
     previous = F.lag(F.struct(F.lit(True).alias("exists"), *values))
@@ -32,16 +31,13 @@ def with_previous(
         within = Window.partitionBy(*group).orderBy(*order)
         return rows.select(*df.columns, *[F.lag(v).over(within).alias(f"prev_{v}") for v in values])
 
-    if not has_hot_key(sizing, group, hot_rows):
-        return plain(df)
-
     # A large group is cut into cells: ids that share their high bits on one day, then longer ranges of ids on one day,
     # then whole days, then the group. In each cell the rows after the first are settled, unless they end the cell;
     # only first and last rows go on to the next, larger cells. So the windows hold at most 2^21 rows, two rows for each
     # of 2^21 and 2^22 smaller cells (for any 64-bit ids), and two rows per day.
     ranges = [f"_range_{bits}" for bits in id_bits]
     cells = [[day, *ranges[i:]] for i in range(len(ranges))] + [[day], []]
-    hot = hot_keys(sizing, group, hot_rows)
+    hot = hot_keys(df, group, hot_rows)
     rows = only_hot(df, hot, group).withColumns(
         {name: F.shiftright(F.col(row_id), bits) for name, bits in zip(ranges, id_bits)}
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,27 @@ def null_checks(columns: list[str]) -> dict[str, Column]:
 
 
 def duplicate_rows(df: DataFrame, table: str) -> DataFrame:
-    """(table_name, n_rows, n_distinct, n_repeated): full-row copies; n_repeated counts rows that occur more than once."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
-    return copies.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.count("*").alias("n_distinct"),
+    """(table_name, n_rows, n_distinct, n_repeated): full-row copies; n_repeated counts rows that occur more than once.
+
+    Only a 64-bit hash of each row is shuffled first. Rows whose hash occurs once are their own; the whole rows of the
+    other hashes, copies and the rare different rows of one hash, are then compared as they are.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    hashes = hashed.groupBy("_hash").agg(F.count("*").alias("n"))
+    single = hashes.where("n = 1").agg(F.count("*").alias("single"))
+    again = hashes.where("n > 1").select("_hash")
+    copies = hashed.join(again, "_hash", "left_semi").groupBy(*df.columns).agg(F.count("*").alias("n"))
+    totals = copies.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count("*").alias("distinct"),
         F.count(F.when(F.col("n") > 1, True)).alias("n_repeated"),
+    )
+    parts = single.select("single", F.lit(0).alias("rows"), F.lit(0).alias("distinct"), F.lit(0).alias("n_repeated"))
+    parts = parts.unionByName(totals.select(F.lit(0).alias("single"), "*"))
+    return parts.agg(
+        F.sum(F.col("single") + F.col("rows")).alias("n_rows"),
+        F.sum(F.col("single") + F.col("distinct")).alias("n_distinct"),
+        F.sum("n_repeated").alias("n_repeated"),
     ).select(F.lit(table).alias("table_name"), "n_rows", "n_distinct", "n_repeated")
 
 
@@ -80,24 +97,19 @@ def ranges(
     return bounds.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
 
 
-def orphans(child: DataFrame, child_name: str, parent: DataFrame, parent_name: str, key: str) -> DataFrame:
-    """(child_table, parent_table, key_column, n_rows, n_orphans): child rows whose key the parent lacks; nulls are not orphans.
+def orphans(children: dict[str, DataFrame], parent: DataFrame, parent_name: str, key: str) -> DataFrame:
+    """(child_table, parent_table, key_column, n_rows, n_orphans) of each child: rows whose key the parent lacks.
 
-    The child is counted per key before the join, so a key with many rows moves as one row per task.
+    Null keys are not orphans and not counted. Children are counted per key before the one join of all of them with the
+    parent, so a key with many rows moves as one row per task.
     """
-    counted = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    tables = [df.where(F.col(key).isNotNull()).select(F.lit(t).alias("child_table"), key) for t, df in children.items()]
+    counted = reduce(DataFrame.unionByName, tables).groupBy(key, "child_table").agg(F.count("*").alias("n"))
     known = parent.select(key).distinct().withColumn("_known", F.lit(True))
-    return (
-        counted.join(known, key, "left")
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("n_orphans"),
-        )
-        .select(
-            F.lit(child_name).alias("child_table"),
-            F.lit(parent_name).alias("parent_table"),
-            F.lit(key).alias("key_column"),
-            "n_rows",
-            "n_orphans",
-        )
+    found = counted.join(known, key, "left").select("child_table", "n", F.when(F.col("_known").isNull(), F.col("n")).alias("lost"))
+    # a row for each table, also one without rows
+    names = parent.sparkSession.createDataFrame([(t, 0, None) for t in children], "child_table string, n long, lost long")
+    sums = found.unionByName(names).groupBy("child_table")
+    return sums.agg(F.sum("n").alias("n_rows"), F.coalesce(F.sum("lost"), F.lit(0)).alias("n_orphans")).select(
+        "child_table", F.lit(parent_name).alias("parent_table"), F.lit(key).alias("key_column"), "n_rows", "n_orphans"
     )

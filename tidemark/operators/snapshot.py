@@ -14,8 +14,12 @@ from tidemark.operators.hot_keys import HOT_ROWS, join_unique
 VERSION_COLUMNS = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
 
+def _stamp(loaded_at: datetime) -> str:
+    return f"{loaded_at:%Y-%m-%d %H:%M:%S}" + (f".{loaded_at.microsecond:06d}" if loaded_at.microsecond else "")
+
+
 def _opened(rows: DataFrame, key: str, loaded_at: datetime) -> DataFrame:
-    stamp = f"{loaded_at:%Y-%m-%d %H:%M:%S}"
+    stamp = _stamp(loaded_at)
     at = F.lit(stamp).cast("timestamp_ntz")
     return rows.select(
         "*",
@@ -26,10 +30,26 @@ def _opened(rows: DataFrame, key: str, loaded_at: datetime) -> DataFrame:
     )
 
 
+def _conflict(key: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"snapshot: different rows share {key} "), F.col(key).cast("string")))
+
+
+def _without_conflicts(rows: DataFrame, key: str) -> DataFrame:
+    """The same rows, copies included; two different rows under one key fail the job.
+
+    Different rows are told by a 64-bit hash, folded per key before the shuffle.
+    """
+    hashes = rows.where(F.col(key).isNotNull()).select(key, F.xxhash64(*rows.columns).alias("h"))
+    bounds = hashes.groupBy(key).agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    # one condition, so that no part of it is checked before the keys are folded
+    failing = bounds.where(F.when(F.col("low") != F.col("high"), _conflict(key)).isNotNull()).select(key)
+    return rows.unionByName(failing, allowMissingColumns=True)
+
+
 def _single_rows(rows: DataFrame, key: str) -> DataFrame:
     """One row per key; equal copies fold together, two different rows under one key fail the job."""
     row = F.struct(*rows.columns)
-    conflict = F.raise_error(F.concat(F.lit(f"snapshot: different rows share {key} "), F.col(key).cast("string")))
+    conflict = _conflict(key)
     return (
         rows.groupBy(key)
         .agg(F.min(row).alias("low"), F.max(row).alias("high"))
@@ -58,21 +78,22 @@ def load(
 ) -> DataFrame:
     """The versions still open after loading ``current``, and those the load closed. Closed history is not needed.
 
-    The first load (``open_rows`` None) is a faithful copy, duplicates included. Later loads close the open versions
+    The first load (``open_rows`` None) is a faithful copy, duplicates included, unless two different rows share a key:
+    that fails it, as it would fail any later load. Later loads close the open versions
     whose key is gone or whose checked columns differ (nulls compare as values), and open a version for each current
     row without a valid one. A change in other columns opens nothing. Copies count as one row; different rows under one
     key make the comparison ambiguous and fail the load.
     """
     if open_rows is None:
-        return _opened(current, key, loaded_at)
+        return _opened(_without_conflicts(current, key), key, loaded_at)
 
-    at = F.lit(f"{loaded_at:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
+    at = F.lit(_stamp(loaded_at)).cast("timestamp_ntz")
     checked = [c for c in check_cols if c != key]
     latest = _single_rows(current.where(F.col(key).isNotNull()), key)
 
     # every open row, copies included, beside the one current row of its key
     now = _beside(latest, key, checked, "now")
-    reviewed = join_unique(open_rows, now, [key], "left", open_rows.select(key), hot_rows).select(
+    reviewed = join_unique(open_rows, now, [key], "left", hot_rows).select(
         *current.columns, "scd_id", "updated_at", "valid_from", F.when(_differs(checked, "now"), at).alias("valid_to")
     )
     # every current row beside the one open version of its key; both are grouped by key already

@@ -8,16 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.snapshot import load
 from tidemark.plans import facts, indicators, lifecycle, staging
-from tidemark.sources.tables import open_versions, publish_history, publish_table, publish_view, read_history
+from tidemark.sources.tables import (
+    history_schema,
+    is_stored,
+    open_versions,
+    publish_history,
+    publish_table,
+    publish_view,
+    read_history,
+)
 
 
 def refresh_histories(spark: SparkSession, raw: dict[str, DataFrame], root: str, loaded_at: datetime) -> dict[str, DataFrame]:
-    """Load the current customers and subscriptions into their histories; returns them whole."""
+    """Load the current customers and subscriptions into their histories; returns them whole.
+
+    A load that is stored already is not repeated, so a run that failed halfway can be started again.
+    """
     histories = {}
     for name, (key, check_cols) in staging.TRACKED.items():
-        path = f"{root}/snapshots/{name}"
-        publish_history(load(raw[name], open_versions(spark, path), key, check_cols, loaded_at), path, loaded_at)
-        histories[name] = read_history(spark, path)
+        path, schema = f"{root}/snapshots/{name}", history_schema(raw[name].schema)
+        if not is_stored(spark, path, loaded_at):
+            publish_history(load(raw[name], open_versions(spark, path, schema), key, check_cols, loaded_at), path, loaded_at)
+        histories[name] = read_history(spark, path, schema)
     return histories
 
 
@@ -45,9 +57,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date
         publish_view(df, f"stg_{name}")
 
     states = publish_table(
-        lifecycle.subscription_lifecycle(
-            staged["subscriptions"], sizing=staging.subscription_groups(histories["subscriptions"])
-        ),
+        lifecycle.subscription_lifecycle(staged["subscriptions"]),
         f"{root}/intermediate/subscription_lifecycle",
     )
     publish_view(states, "int_subscription_lifecycle")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rates import percent, risk_ratio
-from tidemark.operators.hot_keys import HOT_ROWS, has_hot_key, join_unique
+from tidemark.operators.hot_keys import HOT_ROWS, join_unique
 from tidemark.operators.lookback import last_seen_before, within
 
 # Signal names of the scan (fixed values): mark -> name
@@ -47,16 +48,13 @@ def billing_sightings(billings: DataFrame) -> DataFrame:
 
 
 def customer_signal(
-    base: DataFrame, sightings: DataFrame, mark: str, sizing: DataFrame, window_days: int = 60, hot_rows: int = HOT_ROWS
+    base: DataFrame, sightings: DataFrame, mark: str, window_days: int = 60, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """(subscription_id) of the base subscriptions whose customer shows ``mark`` in the days before the reference date.
-
-    ``sizing`` has the customer of every stored subscription version.
-    """
+    """(subscription_id) of the base subscriptions whose customer shows ``mark`` in the days before the reference date."""
     seen = last_seen_before(base, sightings.where(mark), "customer_id", "reference_date", [], [mark])
     matched = seen.where(within(mark, "reference_date", window_days)).select("customer_id", "reference_date")
     keys = ["customer_id", "reference_date"]
-    return join_unique(base, matched, keys, "left_semi", sizing.select("customer_id"), hot_rows).select("subscription_id")
+    return join_unique(base, matched, keys, "left_semi", hot_rows).select("subscription_id")
 
 
 def usage_flags(
@@ -64,17 +62,15 @@ def usage_flags(
     usage: DataFrame,
     window_days: int = 60,
     recent_days: int = 30,
-    drop_threshold: float = -0.5,
+    drop_threshold: float | Decimal = -0.5,
     peak_threshold: int = 8,
-    sizing: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per base subscription with usage in its window: did call minutes drop between the halves, did concurrency peak?
 
-    Usage, the largest table, is shuffled once at most, to the base row of its subscription; where AQE measures the
-    base as small it is broadcast instead. Only if ``sizing`` (the subscription of each usage row, or of a cheaper
-    frame with at least as many) shows a subscription too large for that, usage is first rolled up per day, so that
-    no subscription has more rows than days. Days without calls report a default peak and do not count.
+    Usage, the largest table, is shuffled once, to the base row of its subscription; where AQE measures the base as small
+    it is broadcast instead. Rows of a subscription with more than ``hot_rows`` of them stay in place. Days without calls
+    report a default peak and do not count. ``drop_threshold`` is exact: a decimal with any number of digits up to 18.
     """
     daily = usage.select(
         "subscription_id",
@@ -82,13 +78,12 @@ def usage_flags(
         F.col("call_minutes").alias("minutes"),
         F.when(F.col("call_count") > 0, F.col("concurrent_peak")).alias("peak"),
     )
-    keys = usage if sizing is None else sizing
-    if has_hot_key(keys, ["subscription_id"], hot_rows):
-        daily = daily.groupBy("subscription_id", "usage_date").agg(F.sum("minutes").alias("minutes"), F.max("peak").alias("peak"))
     reference, used = F.col("reference_date"), F.col("usage_date")
     is_recent = used >= F.date_sub(reference, recent_days)
     sums = (
-        daily.join(base.select("subscription_id", "is_churned", "reference_date"), "subscription_id")
+        join_unique(
+            daily, base.select("subscription_id", "is_churned", "reference_date"), ["subscription_id"], "inner", hot_rows
+        )
         .where((used < reference) & (used >= F.date_sub(reference, window_days)))
         .groupBy("subscription_id", "is_churned")
         .agg(
@@ -98,7 +93,7 @@ def usage_flags(
         )
     )
     # compared as a product: exact in decimals, and no division by zero
-    threshold = F.lit(str(drop_threshold)).cast("decimal(5,4)")
+    threshold = F.lit(Decimal(str(drop_threshold)))
     dropped = (F.col("prior") > 0) & (F.col("recent") - F.col("prior") < F.col("prior") * threshold)
     return sums.select(
         "subscription_id",
@@ -121,15 +116,14 @@ def leading_indicator_scan(
     usage: DataFrame,
     window_days: int = 60,
     recent_days: int = 30,
-    drop_threshold: float = -0.5,
+    drop_threshold: float | Decimal = -0.5,
     peak_threshold: int = 8,
-    usage_sizing: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Six signals: how many churned and how many retained subscriptions show them, and the ratio of the two rates.
 
     The four customer signals need no join to the base: its rows enter as counts per customer and reference date.
-    Every source is read once, and one aggregate counts all signals. ``base`` has one row per subscription.
+    One aggregate counts all signals. ``base`` has one row per subscription.
     """
     sightings = reduce(
         lambda a, b: a.unionByName(b, True),
@@ -147,7 +141,7 @@ def leading_indicator_scan(
     )
     # usage rows add to their signals only; the totals come from the anchors
     used = usage_flags(
-        base, usage, window_days, recent_days, drop_threshold, peak_threshold, usage_sizing, hot_rows
+        base, usage, window_days, recent_days, drop_threshold, peak_threshold, hot_rows
     ).select(*_counts(), *USAGE_SIGNALS)
 
     def total(column: Column, name: str) -> Column:

@@ -174,11 +174,9 @@ def signal_population(staged: Tables) -> DataFrame:
 
 
 def referential_integrity(staged: Tables) -> DataFrame:
-    customers, subscriptions = staged["customers"], staged["subscriptions"]
     children = ["subscriptions", "billings", "support_contacts", "portal_events"]
-    return _stack(
-        [orphans(staged[t], t, customers, "customers", "customer_id") for t in children]
-        + [orphans(staged["usage_daily"], "usage_daily", subscriptions, "subscriptions", "subscription_id")]
+    return orphans({t: staged[t] for t in children}, staged["customers"], "customers", "customer_id").unionByName(
+        orphans({"usage_daily": staged["usage_daily"]}, staged["subscriptions"], "subscriptions", "subscription_id")
     )
 
 
@@ -197,10 +195,7 @@ def largest_customers(subscriptions: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(highest), "n", "left_semi").select("customer_id")
 
 
-def timelines(df: DataFrame, customers: DataFrame, order: tuple[str, ...], sizing: DataFrame) -> DataFrame:
-    """All rows of the listed customers, ordered by customer and the given columns (nulls last).
-
-    ``sizing`` has the customer of every stored subscription version.
-    """
-    rows = join_unique(df, customers, ["customer_id"], "left_semi", sizing.select("customer_id"))
+def timelines(df: DataFrame, customers: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """All rows of the listed customers, ordered by customer and the given columns (nulls last)."""
+    rows = join_unique(df, customers, ["customer_id"], "left_semi")
     return rows.orderBy(*[F.col(c).asc_nulls_last() for c in ("customer_id", *order)])

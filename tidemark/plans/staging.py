@@ -72,12 +72,6 @@ def stage_subscriptions(history: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def subscription_groups(history: DataFrame) -> DataFrame:
-    """Customer and product of every stored version: an upper bound of the group sizes without the deduplication."""
-    raw = Raw(history)
-    return history.select(raw.whole("customer_id"), raw.text("product_type"))
-
-
 def stage_billings(rows: DataFrame) -> DataFrame:
     raw = Raw(rows)
     return rows.select(
