@@ -48,3 +48,13 @@ def test_building_a_query_runs_no_job(spark, name):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize(
+    ("name", "found"),
+    [("dq_profile", "n_violations"), ("dq_referential_integrity", "n_orphans"), ("dq_key_uniqueness", "n_keys_repeated"),
+     ("dq_full_row_duplicates", "n_repeated")],
+)
+def test_every_quality_check_has_something_to_find(spark, name, found):
+    rows = contract.queries()[name](spark, "/root/testdata/sf0.01").collect()
+    assert rows and all(r[found] > 0 for r in rows)

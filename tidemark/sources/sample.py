@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = date(2024, 1, 20)
@@ -200,6 +200,83 @@ RAW_TABLES = {
 }
 
 
+def _replaced(df: DataFrame, changes: dict[str, list[tuple[Column, Column]]]) -> DataFrame:
+    """Columns replaced where a condition on the given row holds; the first that holds wins."""
+    new = {}
+    for column, cases in changes.items():
+        value = F.when(*cases[0])
+        for condition, other in cases[1:]:
+            value = value.when(condition, other)
+        new[column] = value.otherwise(F.col(column)).cast(df.schema[column].dataType)
+    return df.withColumns(new)
+
+
+def _twice(df: DataFrame, condition: Column) -> DataFrame:
+    copies = F.when(condition, 2).otherwise(1)
+    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+
+
+def defective(name: str, df: DataFrame) -> DataFrame:
+    """A raw table as a careless source delivers it: every rule that the quality checks look for is broken somewhere."""
+    c, null = F.col, F.lit(None)
+
+    def every(key: str, n: int, rest: int) -> Column:
+        return F.coalesce(c(key) % n == rest, F.lit(False))
+
+    if name == "customers":
+        return _twice(df, every("customer_id", 67, 1))
+    if name == "subscriptions":
+        key, status = "subscription_id", F.trim("status")
+        changes = {
+            "customer_id": [(every(key, 41, 7), -c("customer_id")), (every(key, 43, 8), null)],
+            "status": [(every(key, 31, 5), F.lit(" paused"))],
+            "cancelled_date": [(every(key, 29, 3) & (status == "active"), F.lit("2024-01-05").cast("date"))],
+            "go_live_date": [
+                (every(key, 37, 4) & (status == "active"), null),
+                (every(key, 7, 6) & (status == "doa"), F.lit("2023-05-01").cast("date")),
+            ],
+            key: [(every(key, 499, 9), null)],
+        }
+        return _replaced(df, changes)
+    if name == "billings":
+        key, status = "invoice_id", F.trim("status")
+        changes = {
+            "amount_paid": [
+                (every(key, 47, 1) & (status == "paid"), c("amount_due") + 1),
+                (every(key, 53, 2) & (status == "unpaid"), F.lit(1.0)),
+                (every(key, 13, 3) & (status == "part_paid"), F.lit(0.0)),
+            ],
+            "customer_id": [(every(key, 59, 4), null), (every(key, 61, 5), -c("customer_id"))],
+            "period_month": [(every(key, 67, 6), null)],
+        }
+        return _twice(_replaced(df, changes), every(key, 71, 7))
+    if name == "support_contacts":
+        key = "contact_id"
+        changes = {
+            "customer_id": [(every(key, 103, 2), null), (every(key, 109, 4), -c("customer_id") - 1)],
+            "created_at": [(every(key, 107, 3), null)],
+            key: [(every(key, 101, 1), null)],
+        }
+        return _replaced(_twice(df, every(key, 89, 5)), changes)
+    if name == "portal_events":
+        key = "event_id"
+        changes = {
+            "customer_id": [(every(key, 107, 3), F.lit("-5.0"))],
+            "event_timestamp": [(every(key, 103, 2), null)],
+            key: [(every(key, 101, 1), null)],
+        }
+        return _replaced(_twice(df, every(key, 109, 4)), changes)
+    key = "subscription_id"
+    changes = {
+        "usage_date": [(every(key, 89, 2), null)],
+        "call_count": [(every(key, 97, 3), null), (every(key, 107, 6), F.lit(-1))],
+        "call_minutes": [(every(key, 101, 4), null), (every(key, 109, 7), F.lit(-1.0))],
+        "concurrent_peak": [(every(key, 103, 5), null), (every(key, 113, 8), F.lit(-1))],
+        key: [(every(key, 83, 1), null), (every(key, 79, 9), -c(key) - 1)],
+    }
+    return _replaced(_twice(df, every(key, 73, 10)), changes)
+
+
 def subscription_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two successive source states: keys arrive, vanish, change in tracked and in untracked columns.
 
