@@ -83,3 +83,18 @@ def test_components(spark):
     assert [got[i] for i in (1, 2, 3, 9, 4, 5)] == [1, 1, 1, 9, 4, 4]
     assert {got[i] for i in range(100, 141)} == {100} and {got[i] for i in range(500, 560)} == {500}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 100), st.integers(0, 100), st.integers(0, 10**6))
+def test_linked_sets_share_enough_prefix_keys(common, only_a, only_b, seed):
+    rng = np.random.default_rng(seed)
+    pool = np.unique(rng.integers(0, 2**63, 2 * (common + only_a + only_b)).astype(np.uint64))
+    pool = rng.permutation(pool)[: common + only_a + only_b]
+    a, b = np.sort(pool[: common + only_a]), np.sort(np.concatenate([pool[:common], pool[common + only_a :]]))
+    levels = rng.integers(0, 3, 1 << tree.CELL_BITS).astype(np.uint8) if seed % 2 else np.zeros(1 << tree.CELL_BITS, np.uint8)
+    if 180 * common >= 80 * (len(a) + len(b)):
+        shared = len(np.intersect1d(tree.prefix(a, levels), tree.prefix(b, levels)))
+        assert shared >= tree.shared_keys(min(len(a), len(b)))
+        for size in (len(a), len(b)):
+            assert shared >= tree.shared_keys((4 * size + 4) // 5)

@@ -3,12 +3,14 @@
 Every link between different texts is found; the result is exact up to equal 64-bit hashes of different shingles.
 
 1. ``shingle_rows`` turns each text into its set of shingle hashes, and keeps of it the size, a digest, a signature (a
-   bitmap of four bits or more for each shingle) and the prefix keys: with all shingles in one global order, two linked
-   sets of sizes a and b share one of their first a - ceil(0.8 a) + 1 and b - ceil(0.8 b) + 1 shingles. The order puts
-   frequent shingles last. How frequent one is comes from a table of counts of fixed size over the whole corpus; any
-   order gives the same links.
+   bitmap of four bits or more for each shingle) and the prefix keys: with all shingles in one global order, take the
+   first a - ceil(0.8 a) + l(a) of a set of size a, where l(a) = 1 + a // 16. Two linked sets have l(a) or l(b) of these
+   in common, whichever is less. The order puts frequent shingles last. How frequent one is comes from a table of counts
+   of fixed size over the whole corpus; any order gives the same links.
 2. Equal sets are one node from here on.
-3. Nodes with a common key form a cell around the smallest of them. A pair of linked nodes shares a cell.
+3. Nodes with a common key form a cell around the smallest of them. A node stays in its cells if so many of its keys are
+   shared as a link needs (a partner has at least 0.8 a shingles); chance meetings on a few keys end here. A pair of linked
+   nodes shares a cell.
 4. A cell is joined by a signature tree: its nodes hold the OR of the bitmaps below them and ranges of set sizes, and a
    dual traversal leaves out pairs of nodes whose sizes are too far apart or whose common bits are too few for the
    overlap that a link needs. First on signatures alone, to see which documents have any possible partner; then on the
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as w
@@ -125,12 +127,17 @@ def frequency_levels(docs: DataFrame, size: int) -> np.ndarray:
     return np.ceil(np.maximum(0, out - usual) / 2).astype(np.uint8)
 
 
+def shared_keys(sizes):
+    """Common prefix keys that two sets need for a link, if the smaller one has this size."""
+    return 1 + sizes // 16
+
+
 def prefix(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the global order: by level, then by hash."""
     level = levels[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
     order = np.argsort((level << np.uint64(58)) | (hashes >> np.uint64(6)), kind="stable")
     n = len(hashes)
-    return hashes[order[: n - (4 * n + 4) // 5 + 1]]
+    return hashes[order[: n - (4 * n + 4) // 5 + shared_keys(n)]]
 
 
 ROWS = "doc_id long, n long, digest binary, keys binary, frequent binary, signature binary"
@@ -157,7 +164,7 @@ def shingle_rows(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _cells(reps: DataFrame) -> DataFrame:
-    """Distinct (cell, node): nodes that share a key belong to the cell of the smallest of them.
+    """Distinct (cell, node): nodes that share a key belong to the cell of the smallest of them, if they share enough.
 
     Usual keys travel packed, in rows of a hash bucket, and are sorted there. Frequent ones, of which one may occur in a
     third of all sets, go the plain way: smallest node by key, combined before the shuffle, and a join that Spark can
@@ -203,14 +210,14 @@ def _cells(reps: DataFrame) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         length = np.diff(np.append(first, len(keys)))
         cell, shared = np.repeat(nodes[first], length), np.repeat(length > 1, length)
-        pairs = np.unique(np.stack([cell[shared], nodes[shared]]), axis=1)
-        return pa.table({"cell": pairs[0], "node": pairs[1]})
+        pairs, n = np.unique(np.stack([cell[shared], nodes[shared]]), axis=1, return_counts=True)
+        return pa.table({"cell": pairs[0], "node": pairs[1], "keys": n})
 
     packed = (
         reps.select("node", "keys")
         .mapInArrow(deal, "bucket int, keys binary, places binary, nodes binary")
         .groupBy("bucket")
-        .applyInArrow(meet, "cell long, node long")
+        .applyInArrow(meet, "cell long, node long, keys long")
     )
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +236,18 @@ def _cells(reps: DataFrame) -> DataFrame:
     middle = written(
         often.groupBy("key").agg(F.min("node").alias("cell"), F.count("*").alias("n")).where("n > 1").drop("n"), "middles"
     )
-    hot = often.join(middle, "key").select("cell", "node")
-    cells = packed.union(hot).distinct()
-    return written(cells, "cells")
+    hot = often.join(middle, "key").select("cell", "node", F.lit(1).cast("long").alias("keys"))
+    met = packed.union(hot).groupBy("cell", "node").agg(F.sum("keys").alias("keys"))
+    met = written(met, "meetings")
+    enough = met.groupBy("node").agg(F.sum("keys").alias("keys")).join(reps.select("node", "n"), "node")
+    enough = enough.where(F.col("keys") >= shared_keys_of((4 * F.col("n") + 4) / 5)).select("node")
+    cells = written(met.select("cell", "node").join(enough, "node"), "members")
+    several = cells.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1").select("cell")
+    return written(cells.join(several, "cell").select("cell", "node"), "cells")
+
+
+def shared_keys_of(size: Column) -> Column:
+    return 1 + F.floor(F.floor(size) / 16)
 
 
 # --- trees -----------------------------------------------------------------------------------------------------------
