@@ -28,8 +28,18 @@ def _package() -> str:
     return path
 
 
+BATCH_ROWS, BATCH_BYTES = 1_000, "8m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python functions import this package on all executors; Spark serves the file to them."""
+    """Let Python functions import this package on all executors; Spark serves the file to them.
+
+    Also keeps the batches that go to Python small in this session: each is held by Spark and by the worker, in
+    several forms, for every task of an executor.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if not any(path.endswith(Path(_package()).name) for path in context._python_includes):
         context.addPyFile(_package())
