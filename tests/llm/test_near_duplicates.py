@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm import brute
+from tidemark.llm import queries
 from tidemark.llm import signature_tree as tree
 from tidemark.llm.components import components
 
@@ -98,3 +99,40 @@ def test_linked_sets_share_enough_prefix_keys(common, only_a, only_b, seed):
         assert shared >= tree.shared_keys(min(len(a), len(b)))
         for size in (len(a), len(b)):
             assert shared >= tree.shared_keys((4 * size + 4) // 5)
+
+
+def all_pairs(rows):
+    """(doc_id, n_shingles, component_id, n_links) of each row, comparing every pair of rows."""
+    sets = [brute.shingles(text) for _, text in rows]
+    links = [0] * len(rows)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and sets[j] and 100 * common >= 80 * (len(a) + len(sets[j]) - common):
+                links[i] += 1
+                links[j] += 1
+    components = {(doc_id, n): c for doc_id, n, c in brute.jaccard_components(rows)}
+    return sorted((r[0], len(s), components[r[0], len(s)], n) for r, s, n in zip(rows, sets, links, strict=True))
+
+
+@pytest.mark.parametrize("chunk", [tree.CHUNK, 3])
+def test_every_link_counts_once(spark, chunk):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    words = [f"w{i}" for i in range(150)]
+    for i in range(24):  # a chain, each linked with those next to it only
+        rows.append((10_000 + i, " ".join([*words[i:], *[f"x{j}" for j in range(i)]])))
+    for i in range(20):  # a family in which each is linked with each, some of them twice
+        rows += [(20_000 + 10 * i + k, " ".join([*words[:100], *[f"y{i}_{j}" for j in range(4)]])) for k in range(1 + i % 2)]
+    rows += [(30_000, None), (30_001, " "), (30_002, "a b"), (30_003, "A  b")]
+    got = tree.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), chunk=chunk)
+    want = all_pairs(rows)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert {n for doc_id, _, _, n in want if 20_000 <= doc_id < 30_000} >= {29}
+
+
+def test_the_query_returns_the_links(spark):
+    found = queries.op10_ngram_jaccard_join(spark, "/root/testdata/sf0.001")
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    assert sorted(map(tuple, found.collect())) == all_pairs([tuple(r) for r in rows])

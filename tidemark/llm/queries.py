@@ -79,7 +79,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signature_tree.near_duplicates(_table(spark, sf_dir, "documents"))
+    return signature_tree.linked_documents(_table(spark, sf_dir, "documents"))
 
 
 EXACT_DEDUP_SQL = """

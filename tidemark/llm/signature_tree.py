@@ -1,6 +1,8 @@
 """N-gram Jaccard join: documents whose sets of word shingles have a Jaccard similarity of 0.8 or more.
 
-Every link between different texts is found; the result is exact up to equal 64-bit hashes of different shingles.
+The join, ``linked_documents``, intersects every pair that the trees leave and counts each document's links. Components
+alone, ``near_duplicates``, need fewer: pairs that are already connected are left out there. Both are exact up to equal
+64-bit hashes of different shingles.
 
 1. ``shingle_rows`` turns each text into its set of shingle hashes, and keeps of it the size, a digest, a signature (a
    bitmap of four bits or more for each shingle) and the prefix keys: with all shingles in one global order, take the
@@ -14,9 +16,10 @@ Every link between different texts is found; the result is exact up to equal 64-
 4. A cell is joined by a signature tree: its nodes hold the OR of the bitmaps below them and ranges of set sizes, and a
    dual traversal leaves out pairs of nodes whose sizes are too far apart or whose common bits are too few for the
    overlap that a link needs. First on signatures alone, to see which documents have any possible partner; then on the
-   whole sets of those, where every surviving pair is intersected unless its documents are already connected.
-5. Cells of more than CHUNK nodes are joined in chunks of that size, each together with the node in their middle. What
-   is still unconnected between chunks is joined pair by pair of chunks, in the same two steps.
+   whole sets of those, where every surviving pair is intersected (for components alone: unless its documents are
+   already connected). A pair of several cells counts in the smallest of them.
+5. Cells of more than CHUNK nodes are joined in chunks of that size, each together with the node in their middle. Then
+   pairs of chunks are joined (for components alone: what is still unconnected between them), in the same two steps.
 6. Components of the links, by alternating stars.
 """
 
@@ -393,6 +396,58 @@ def links_of(sets: list[np.ndarray], known: np.ndarray, sides: np.ndarray, middl
     return out
 
 
+class Packed:
+    """Sets of 64-bit numbers, flat, to compare one with many."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.lengths = np.array([len(x) for x in sets], dtype=np.int64)
+        self.ends = np.cumsum(self.lengths)
+        numbers, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        self.codes, self.marks = codes, np.zeros(len(numbers), dtype=bool)
+
+    def of(self, x: int) -> np.ndarray:
+        return self.codes[self.ends[x] - self.lengths[x] : self.ends[x]]
+
+    def common(self, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+        """Of each of ``xs`` and each of ``ys``, how many numbers they have in common."""
+        codes = np.concatenate([self.of(y) for y in ys])
+        edges = np.concatenate([[0], np.cumsum(self.lengths[ys])])
+        out = np.zeros((len(xs), len(ys)), dtype=np.int64)
+        for i, x in enumerate(xs):
+            self.marks[self.of(x)] = True
+            out[i] = np.diff(np.concatenate([[0], np.cumsum(self.marks[codes])])[edges])
+            self.marks[self.of(x)] = False
+        return out
+
+
+def all_links(
+    sets: list[np.ndarray], sides: np.ndarray, cells: list[np.ndarray], cell: int, rows: np.ndarray
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect the documents of a cell, and how many rows each document is linked with, by all its links.
+
+    ``cells`` has all cells of each document. A pair counts in the smallest that it shares. ``rows`` is how many rows a
+    document stands for.
+    """
+    whole, below = Packed(sets), Packed([c[c < cell] for c in cells])
+    sizes, groups = whole.lengths, Groups(np.arange(len(sets)))
+    found, out = np.zeros(len(sets), dtype=np.int64), []
+    for a, b in trees_to_join(np.arange(len(sets)), sizes, [signature(s) for s in sets]):
+        for x, y, fits in pairs_of(a, b, sides):
+            left, right = np.flatnonzero(fits.any(axis=1)), np.flatnonzero(fits.any(axis=0))
+            if not len(left):
+                continue
+            x, y, fits = x[left], y[right], fits[np.ix_(left, right)]
+            linked = fits & (9 * whole.common(x, y) >= 4 * (sizes[x][:, None] + sizes[y][None]))
+            for i, j in zip(*np.nonzero(linked & (groups.of[x][:, None] != groups.of[y][None])), strict=True):
+                if groups.of[x[i]] != groups.of[y[j]]:
+                    groups.join(int(x[i]), int(y[j]))
+                    out.append((int(x[i]), int(y[j])))
+            linked &= below.common(x, y) == 0
+            found[x] += linked @ rows[y]
+            found[y] += rows[x] @ linked  # each pair once: of a leaf with itself only a triangle is left
+    return out, found
+
+
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of one cell after the other, from rows sorted by cell."""
     rest: pa.Table | None = None
@@ -413,8 +468,16 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 MEMBERS = "part long, cell long, node long, known long, side int"
 
 
-def join_cells(members: DataFrame, reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Links (a, b) found among the members of each part, given what is known to be connected already."""
+def join_cells(
+    members: DataFrame, reps: DataFrame, docs: DataFrame, size: int, homes: DataFrame | None = None
+) -> DataFrame:
+    """Links (a, b) found among the members of each part, given what is known to be connected already.
+
+    With ``homes`` (node, cells, rows) every link is counted: the links here are those that connect the same documents
+    (n is 0), and rows (a, a, n) say that the documents linked with a have n rows.
+    """
+
+    every = homes is not None
 
     def arrays(cell: pa.Table):
         return cell["node"].to_numpy(), cell["known"].to_numpy(), cell["side"].to_numpy()
@@ -432,9 +495,17 @@ def join_cells(members: DataFrame, reps: DataFrame, docs: DataFrame, size: int)
             node, known, sides = arrays(cell)
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in cell["hashes"]]
             middle = np.flatnonzero(node == cell["cell"][0].as_py())
-            found = links_of(sets, known, sides, int(middle[0]) if len(middle) and (sides < 0).all() else -1)
-            a, b = node[[x for x, _ in found]], node[[y for _, y in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            if not every:
+                found = links_of(sets, known, sides, int(middle[0]) if len(middle) and (sides < 0).all() else -1)
+                n = np.zeros(0, np.int64)
+            else:
+                own = [np.sort(np.array(x.as_py(), np.int64)) for x in cell["cells"]]
+                found, n = all_links(sets, sides, own, cell["cell"][0].as_py(), cell["rows"].to_numpy())
+            counted = np.flatnonzero(n)
+            a = np.concatenate([node[[x for x, _ in found]], node[counted]])
+            b = np.concatenate([node[[y for _, y in found]], node[counted]])
+            n = np.concatenate([np.zeros(len(found), np.int64), n[counted]])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
 
     signed = members.hint("merge").join(reps.select("node", "n", "signature"), "node")
     signed = signed.select(*[x.split()[0] for x in MEMBERS.split(", ")], "n", "signature")
@@ -443,9 +514,13 @@ def join_cells(members: DataFrame, reps: DataFrame, docs: DataFrame, size: int)
     names = reps.select("node", "doc_id", "digest")
     wanted = written(left.select("node").distinct().join(names, "node"), "wanted")
     # the sets are dealt out by digest once; the few columns of the members come to them
-    named = left.join(wanted.select("node", "digest"), "node").hint("merge")
-    whole = named.join(shingle_sets(docs, wanted, size), "digest").select(*left.columns, "hashes")
-    return written(whole.repartition("part").sortWithinPartitions("part").mapInArrow(exact, "a long, b long"), "links")
+    more = ["cells", "rows"] if every else []
+    named = wanted.select("node", "digest")
+    named = named.join(homes, "node") if every else named
+    named = left.join(named, "node").hint("merge")
+    whole = named.join(shingle_sets(docs, wanted, size), "digest").select(*left.columns, *more, "hashes")
+    links = whole.repartition("part").sortWithinPartitions("part").mapInArrow(exact, "a long, b long, n long")
+    return written(links, "links")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -512,6 +587,16 @@ def _between_chunks(split: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+def _all_between_chunks(split: DataFrame) -> DataFrame:
+    """Members of all pairs of chunks of one cell. The node in the middle has met all chunks and has no part in them."""
+    split = split.where("node <> cell").select("cell", "node", "chunk", "chunks")
+    met = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("chunk <> other")
+    return met.select(
+        F.xxhash64("cell", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("part"),
+        "cell", "node", F.col("node").alias("known"), (F.col("chunk") > F.col("other")).cast("int").alias("side"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, chunk: int = CHUNK
 ) -> DataFrame:
@@ -520,28 +605,53 @@ def near_duplicates(
     Null texts are empty; documents without words are linked with nothing, not even with each other. A null id is never
     the smallest. Rows repeated with one id are documents of their own. An empty table gives an empty result.
     """
+    return _linked(docs, id_col, text_col, size, chunk, False).drop("n_links")
+
+
+def linked_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, chunk: int = CHUNK
+) -> DataFrame:
+    """``near_duplicates`` with n_links: how many other rows have a similarity of 0.8 or more, copies included.
+
+    Every link is intersected and counted. A row without words has none.
+    """
+    return _linked(docs, id_col, text_col, size, chunk, True)
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, size: int, chunk: int, every: bool) -> DataFrame:
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(shingle_rows(docs, size).withColumn("row", F.monotonically_increasing_id()), "shingles")
-    classes = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
+    classes = rows.where("n > 0").groupBy("digest").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("rows")
+    )
     classes = written(classes, "classes")
     reps = rows.join(classes.hint("merge").select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
     reps = written(reps.select("node", "doc_id", "n", "digest", "keys", "frequent", "signature"), "nodes")
 
-    first, split = _chunked(_cells(reps), chunk)
-    links = join_cells(first, reps, docs, size)
+    cells = _cells(reps)
+    first, split = _chunked(cells, chunk)
+    homes = None
+    if every:
+        homes = cells.groupBy("node").agg(F.collect_list("cell").alias("cells")).join(classes.select("node", "rows"), "node")
+    links = join_cells(first, reps, docs, size, homes)
     if not split.isEmpty():
-        between = _between_chunks(split, components(links))
-        links = links.union(join_cells(between, reps, docs, size))
+        between = _all_between_chunks(split) if every else _between_chunks(split, components(links))
+        links = links.union(join_cells(between, reps, docs, size, homes))
     graph = written(components(links), "components")
     smallest = written(
         graph.join(classes, "node").groupBy("component").agg(F.min("least").alias("component_id")), "smallest"
     )
     labels = classes.join(graph, "node", "left").join(smallest, "component", "left")
-    labels = written(labels.select("digest", F.coalesce("component_id", "least").alias("component_id")), "labels")
+    counted = links.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    labels = labels.join(counted, "node", "left")
+    n_links = F.col("rows") - 1 + F.coalesce("n", F.lit(0))
+    component = F.coalesce("component_id", "least").alias("component_id")
+    labels = written(labels.select("digest", component, n_links.alias("n_links")), "labels")
     bare = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest")
-    linked = bare.where("n_shingles > 0").join(labels, "digest").select("doc_id", "n_shingles", "component_id")
-    alone = bare.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = bare.where("n_shingles > 0").join(labels, "digest").select("doc_id", "n_shingles", "component_id", "n_links")
+    alone = bare.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")})
+    alone = alone.select("doc_id", "n_shingles", "component_id", "n_links")
     return linked.union(alone)
 
 
