@@ -62,3 +62,22 @@ def test_odd_rows(spark):
     again = mixing.mixed(docs, model, {"a": 1, "b": 1}, total=2.0, least=1.0)
     assert again.columns == docs.columns and again.count() == 8
     assert mixing.mixed(docs.limit(0), model, {"a": 1, "b": 1}).collect() == []
+
+
+@pytest.mark.parametrize("rare", [0.001, 0.0001])
+def test_rare_domains_come_to_their_targets(spark, rare):
+    n, p = np.full(1_000, 10), np.full((1_000, 3), [0.998, 0.001, 0.001])
+    p[:2] = [[0.02, 0.96, 0.02], [0.02, 0.02, 0.96]]
+    n[:2] = rare * 10_000
+    rows = [(int(a), *map(float, b)) for a, b in zip(n, p, strict=True)]
+    members = spark.createDataFrame(rows, "n long, a double, b double, c double").coalesce(1)
+    targets = np.array([0.9, 0.06, 0.04])
+    rates = mixing.fit_rates(members, "n", ["a", "b", "c"], [*targets])
+    found = np.array([r.rate for r in members.withColumn("rate", rates.column(["a", "b", "c"])).collect()])
+    assert found.min() >= 0 and np.allclose((found * n) @ p / n.sum(), targets, atol=1e-3)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    members = spark.createDataFrame([(10, 0.5, 0.5), (20, 0.5, 0.5)], "n long, a double, b double").coalesce(1)
+    with pytest.warns(UserWarning, match="mixing ends"):
+        mixing.fit_rates(members, "n", ["a", "b"], [0.9, 0.1])

@@ -5,12 +5,16 @@
 2. Every document gets a rate, how often it should occur. The expected tokens of domain k are the sum over documents of
    rate x tokens x posterior of k. Projected gradient descent on the weighted squares of their distances from the
    targets finds rates of at least ``least`` (0: any rate that is not negative). Each step is one aggregate of as many
-   numbers as there are domains; a document's rate is not stored but follows from the steps so far and its posterior.
+   numbers as there are domains; a document's rate follows from the steps so far and its posterior, and is written every
+   KEPT steps. After STEPS steps the squares are weighted by the inverse of each domain's share of the tokens instead, so
+   that a rare domain moves as fast as a frequent one. The descent ends at the targets, or with a warning where it
+   comes no closer.
 3. Copies: the whole part of the rate, and one more with the probability of the rest, drawn by a hash of the id.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +30,9 @@ from tidemark.llm.ordinal import telling_terms, word_counts
 from tidemark.llm.shared import ship, written
 
 STEPS = 40
+KEPT = 20
 CLOSE = 1e-6  # of the weighted squares, relative to the first
+STALLED = 0.01  # the least part of the weighted squares that KEPT steps must take off
 
 
 @dataclass
@@ -130,20 +136,27 @@ class Rates:
     least: float
 
     def column(self, shares: list[str]) -> Column:
-        rate = F.lit(self.start)
-        for step in self.steps:
-            rate = _moved(rate, step, shares, self.least)
-        return rate
+        if not self.steps:
+            return F.lit(self.start)
+
+        def moved(rate: Column, step: Column) -> Column:
+            along = sum((F.col(s) * step[k] for k, s in enumerate(shares)), F.lit(0.0))
+            return F.greatest(F.lit(float(self.least)), rate - along)
+
+        # a loop over literals: the plan does not grow deeper with the number of steps
+        steps = F.array(*[F.array(*[F.lit(float(g)) for g in step]) for step in self.steps])
+        return F.aggregate(steps, F.lit(self.start), moved)
 
 
 def fit_rates(
     members: DataFrame, tokens: str, shares: list[str], targets: list[float], total: float = 1.0, least: float = 0.0,
-    steps: int = STEPS,
+    steps: int | None = None,
 ) -> Rates:
     """Rates that bring the expected tokens of each domain to its share in ``targets`` of ``total`` x all tokens.
 
     The squares are weighted by the inverse of the targets, and a document's part of the gradient by the inverse of its
-    tokens, so that equal posteriors get equal rates. No tokens at all: every rate is ``total``.
+    tokens, so that equal posteriors get equal rates. No tokens at all: every rate is ``total``. ``steps`` bounds their
+    number; a descent that ends before the targets are met warns.
     """
     n = F.col(tokens)
     cells = [F.sum(n * F.col(a) * F.col(b)) for i, a in enumerate(shares) for b in shares[: i + 1]]
@@ -158,16 +171,30 @@ def fit_rates(
     weight = 1 / np.maximum(target, 1e-3)
     # the largest eigenvalue of W curve bounds the step
     size = float(np.linalg.eigvalsh(np.sqrt(weight)[:, None] * curve * np.sqrt(weight)[None]).max())
-    goal, begin = total * target, None
-    for _ in range(steps):
-        rate = rates.column(shares)
+    goal, begin, met, losses = total * target, None, False, []
+    # the rows of curve sum to the shares, so these weights bound the largest eigenvalue by 1
+    even = 1 / np.maximum(curve.sum(axis=1), 1e-12)
+    members, rate = members.select(tokens, *shares), F.lit(rates.start)
+    while True:
         now = np.array(members.agg(*[F.sum(rate * n * F.col(s)) for s in shares]).first(), float) / first[0]
         off = now - goal
         loss = float(weight @ off**2)
         begin = loss if begin is None else begin
-        if loss <= CLOSE * begin or loss < 1e-12:
+        met = loss <= CLOSE * begin or loss < 1e-12
+        done = len(rates.steps)
+        losses += [float(even @ off**2)] if done >= STEPS else []
+        stuck = len(losses) > KEPT and losses[-1] > (1 - STALLED) * losses[-1 - KEPT]
+        if met or stuck or done == steps:
             break
-        rates.steps.append(weight * off / size)
+        step = weight * off / size if done < STEPS else even * off
+        rates.steps.append(step)
+        rate = _moved(rate, step, shares, least)
+        if len(rates.steps) % KEPT == 0:
+            column = f"rate{'_' * (1 + max(map(len, [tokens, *shares])))}"
+            members = written(members.select(tokens, *shares, rate.alias(column)), "rates")
+            rate = F.col(column)
+    if not met:
+        warnings.warn(f"mixing ends after {done} steps at shares {now.tolist()}, targets {goal.tolist()}", stacklevel=2)
     return rates
 
 
