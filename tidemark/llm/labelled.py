@@ -16,10 +16,13 @@ def sample(
     """``doc_id``, ``text`` and the label columns of at most ``most`` documents, drawn by a hash of their ids.
 
     ``usable`` is a condition on the labels. Labels with a null id or a null in ``columns`` are left out; an id with
-    several different labels keeps its largest; documents without a label are no part of it.
+    several different labels keeps its largest; documents without a label are no part of it. Of the rows that share an
+    id one stands for all, that with the smallest hash of its text.
     """
     known = labels.where(usable).select("doc_id", *columns).dropna()
     known = known.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns])
     drawn = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), f"{name}-drawn")
     # at most ``most`` ids: small enough for a broadcast
-    return written(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), name)
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")  # combined before the shuffle
+    return written(rows.groupBy("doc_id", *columns).agg(one).select("doc_id", "text", *columns), name)
