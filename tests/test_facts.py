@@ -86,3 +86,17 @@ def test_empty_months_have_no_rate(spark):
 def test_no_subscriptions_at_all(spark):
     out = by_month(churn_metrics(lifecycle(spark, S(1, 1, None)), TODAY))
     assert len(out) == 12 and set(out.values()) == {(0, 0, 0, None, None)}
+
+
+def test_any_number_of_months_in_one_plan(spark):
+    states = lifecycle(spark, S(1, 1, "1980-03-01"), cancelled(2, "1990-01-05", "2001-06-01"), cancelled(3, "1960-01-01", "1970-01-01"))
+    plans = [churn_metrics(states, TODAY, months=m)._jdf.queryExecution().executedPlan().toString() for m in (12, 600)]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines())
+    out = by_month(churn_metrics(states, TODAY, months=600))
+    assert len(out) == 600 and out[d("1974-01-01")][:3] == (0, 0, 0)
+    assert out[d("2001-06-01")][:3] == (2, 1, 0) and out[d("2001-07-01")][:3] == (1, 0, 0)
+
+
+def test_an_end_before_the_start_counts_nowhere_but_as_churn(spark):
+    out = by_month(churn_metrics(lifecycle(spark, cancelled(1, "2023-05-03", "2023-02-10")), TODAY))
+    assert {m.month: row[:3] for m, row in out.items() if any(row[:3])} == {2: (0, 1, 1)}

@@ -53,11 +53,10 @@ def model_lifecycle(given):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("hot_rows", [1_000_000, 6])
-def test_lifecycle_facts_and_churn(spark, seed, hot_rows):
+def test_lifecycle_facts_and_churn(spark, seed):
     given = list(some_subscriptions(random.Random(seed), 120))
     df = subscriptions(spark, *given)
-    out = subscription_lifecycle(df, hot_rows=hot_rows, id_bits=(3, 5)).cache()
+    out = subscription_lifecycle(df).cache()
     states = model_lifecycle(given)
     assert dict(rows(out, "subscription_id", "lifecycle_state")) == states
 
@@ -96,7 +95,7 @@ def test_four_loads_keep_the_books(spark, seed):
             if not any(v["key"] == key and v["to"] is None for v in model):
                 model.append({"key": key, "row": row, "from": at, "to": None})
         df = spark.createDataFrame([(k, v, w) for k, (v, w) in current.items()], "id int, v string, w int")
-        history = snapshot(df, history, "id", ["v", "w"], at, hot_rows=pick.choice([1, 1_000_000]))
+        history = snapshot(df, history, "id", ["v", "w"], at)
     found = [(r.id, r.v, r.w, r.valid_from, r.valid_to) for r in history.collect()]
     wanted = [(v["key"], *v["row"], v["from"], v["to"]) for v in model]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)

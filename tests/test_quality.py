@@ -5,7 +5,7 @@ from helpers import d, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
-from tidemark.operators.hot_keys import hot_keys, join_unique
+from tidemark.operators.hot_keys import copied, hot_keys, join_unique, salted
 from tidemark.plans import quality_reports
 
 
@@ -64,7 +64,7 @@ def test_rows_that_share_a_hash_are_compared_as_they_are(spark, monkeypatch):
 
 def test_hot_keys(spark):
     df = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [None] * 20 + list(range(30)))], "k int, i int")
-    assert rows(hot_keys(df, ["k"], 19)) == [(1,), (None,)] and rows(hot_keys(df, ["k"], 51)) == []
+    assert rows(hot_keys(df, ["k"], 19)) == [(1, 3), (None, 2)] and rows(hot_keys(df, ["k"], 51)) == []
     right = spark.createDataFrame([(1, "one"), (2, "two"), (99, "no")], "k int, name string")
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = join_unique(df, right, ["k"], how)
@@ -72,6 +72,26 @@ def test_hot_keys(spark):
         assert rows(split) == rows(plain) == rows(df.join(right, "k", how))
 
 
+def test_a_salted_join_reads_the_left_side_once_and_its_keys_once(spark, tmp_path):
+    rows_of = [(k, i) for i, k in enumerate([1] * 50 + [None] * 20 + list(range(30)))]
+    spark.createDataFrame(rows_of, "k int, i int").write.parquet(str(tmp_path / "left"))
+    spark.createDataFrame([(k, str(k)) for k in range(40)], "k int, name string").write.parquet(str(tmp_path / "right"))
+    left, right = spark.read.parquet(str(tmp_path / "left")), spark.read.parquet(str(tmp_path / "right"))
+    plan = join_unique(left, right, ["k"], "inner", hot_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<k:int,i:int>") <= 1 and "Union" not in plan
+    hot = hot_keys(left, ["k"], 5)
+    shares = salted(left, hot, ["k"]).groupBy("k", "_salt").count().where("k = 1").collect()
+    assert len(shares) > 3 and sum(r["count"] for r in shares) == 51
+    assert {(r.k, r["count"]) for r in copied(right, hot, ["k"]).groupBy("k").count().collect() if r["count"] > 1} == {(1, 11)}
+
+
+def test_equal_rows_of_a_hot_key_are_spread_over_the_tasks(spark):
+    same = spark.range(0, 1000, 1, 8).selectExpr("1 as k", "'x' as v")
+    shares = salted(same, hot_keys(same, ["k"], 100), ["k"])
+    assert shares.select("_salt").distinct().count() > 2
+    assert rows(join_unique(same, same.distinct(), ["k", "v"], "inner", 100)) == rows(same)
+
+
 def test_entity_rows(spark):
     df = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (1, "a", None), (2, "a", 1)], "customer_id int, product_type string, o int")
     assert [r.o for r in quality_reports.entity_rows(df, 1, ("o",), "a").collect()] == [2, None]

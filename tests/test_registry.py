@@ -50,6 +50,12 @@ def test_building_a_query_runs_no_job(spark, name):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_plans_stay_small(spark, name):
+    plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 24 and plan.count("Exchange ") <= 40
+
+
 @pytest.mark.parametrize(
     ("name", "found"),
     [("dq_profile", "n_violations"), ("dq_referential_integrity", "n_orphans"), ("dq_key_uniqueness", "n_keys_repeated"),

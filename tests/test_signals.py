@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from helpers import d, rows, ts
 
-from tidemark.operators.lookback import last_seen_before, within
+from tidemark.operators.lookback import last_seen_before, rows_with_last_seen, within
 from tidemark.plans import indicators
 
 BASE = "subscription_id bigint, customer_id bigint, lifecycle_state string, is_churned boolean, reference_date date"
@@ -80,6 +80,28 @@ def test_latest_sighting_equals_brute_force(spark):
     assert {(r.k, r.day): (r.n, r.hit) for r in out.collect()} == expected
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+def test_rows_with_last_seen_equal_brute_force(spark, hot_rows):
+    pick = random.Random(hot_rows)
+    start = d("2023-01-01")
+
+    def on():
+        return start + timedelta(pick.randint(0, 90))
+
+    anchors = [(i, pick.choice([1, 1, 1, 2, 3, None]), pick.choice([None, on(), on()])) for i in range(300)]
+    events = [(pick.choice([1, 2, 4, None]), pick.choice([None, on(), on()]), pick.random() < 0.5) for _ in range(60)]
+    out = rows_with_last_seen(
+        spark.createDataFrame([*anchors, *anchors[:9]], "i int, k int, day date"),
+        spark.createDataFrame(events, "k int, seen_on date, m boolean"),
+        "k", "day", ["m"], hot_rows,
+    )
+    wanted = []
+    for i, k, day in [*anchors, *anchors[:9]]:
+        seen = [o for e, o, m in events if m and e is not None and e == k and o and day and o < day]
+        wanted.append((i, k, day, max(seen, default=None)))
+    assert sorted(map(repr, (tuple(r) for r in out.collect()))) == sorted(map(repr, wanted))
+
+
 def usage(spark, *given):
     return spark.createDataFrame(
         [(s, d(on), calls, Decimal(str(minutes)) if minutes is not None else None, peak) for s, on, calls, minutes, peak in given],

@@ -2,56 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.hot_keys import HOT_ROWS, hot_keys, only_hot, without_hot
-
-ID_BITS = (21, 42)
-
 
-def with_previous(
-    df: DataFrame,
-    group: list[str],
-    day: str,
-    row_id: str,
-    values: list[str],
-    hot_rows: int = HOT_ROWS,
-    id_bits: tuple[int, ...] = ID_BITS,
-) -> DataFrame:
+def with_previous(df: DataFrame, group: list[str], day: str, row_id: str, values: list[str]) -> DataFrame:
     """Add ``prev_<value>``: the value one row earlier within ``group``, ordered by day (nulls last), then row id.
 
-    ``row_id`` is a unique whole number. Groups of more than ``hot_rows`` rows, counted exactly within the plan, are split
-    off, see below; one window does all others.
+    ``row_id`` makes the order total. The rows are dealt out in ranges of (group, day, id), so a large group is spread over
+    as many parts as any other rows, and a part is a stretch of the whole order: the row before is the one ahead in the same
+    part, but for the first row of each part. Those and the last rows, at most two of each part, then meet in one window,
+    which hands the end of a part on to the next. ``df`` is read once, and nothing is counted or broadcast.
     """
-    order = [F.col(day).asc_nulls_last(), F.col(row_id).asc_nulls_last()]
-    previous = F.lag(F.struct(F.lit(True).alias("exists"), *values))
-
-    def plain(rows: DataFrame) -> DataFrame:
-        within = Window.partitionBy(*group).orderBy(*order)
-        return rows.select(*df.columns, *[F.lag(v).over(within).alias(f"prev_{v}") for v in values])
-
-    # A large group is cut into cells: ids that share their high bits on one day, then longer ranges of ids on one day,
-    # then whole days, then the group. In each cell the rows after the first are settled, unless they end the cell;
-    # only first and last rows go on to the next, larger cells. So the windows hold at most 2^21 rows, two rows for each
-    # of 2^21 and 2^22 smaller cells (for any 64-bit ids), and two rows per day.
-    ranges = [f"_range_{bits}" for bits in id_bits]
-    cells = [[day, *ranges[i:]] for i in range(len(ranges))] + [[day], []]
-    hot = hot_keys(df, group, hot_rows)
-    rows = only_hot(df, hot, group).withColumns(
-        {name: F.shiftright(F.col(row_id), bits) for name, bits in zip(ranges, id_bits)}
-    )
-    result = plain(without_hot(df, hot, group))
-    for cell in cells:
-        within = Window.partitionBy(*group, *cell).orderBy(*order)
-        here = previous.over(within)
-        rows = rows.select(
-            *df.columns,
-            *ranges,
-            (F.coalesce("_previous", here) if "_previous" in rows.columns else here).alias("_previous"),
-            (here.isNull() | F.lead(F.lit(True)).over(within).isNull()).alias("_at_end"),
-        )
-        done = rows.where("NOT _at_end") if cell else rows
-        result = result.unionByName(done.select(*df.columns, *[F.col(f"_previous.{v}").alias(f"prev_{v}") for v in values]))
-        rows = rows.where("_at_end")
-    return result
+    order = [*[F.col(c).asc_nulls_first() for c in group], F.col(day).asc_nulls_last(), F.col(row_id).asc_nulls_last()]
+    row = F.struct(*[F.col(c).alias(f"group_{c}") for c in group], *[F.col(v).alias(f"value_{v}") for v in values])
+    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy("_part").orderBy(*order)
+    marked = parts.select(
+        "*", F.lag(row).over(inside).alias("_ahead"), F.lead(F.lit(True)).over(inside).isNull().alias("_is_last")
+    ).withColumn("_is_first", F.col("_ahead").isNull())
+    ends = F.when(F.col("_is_first") | F.col("_is_last"), -1).otherwise(F.col("_part"))
+    handed_on = F.lag(row).over(Window.partitionBy(ends).orderBy("_part", F.col("_is_first").desc()))
+    found = marked.select(*df.columns, F.when(F.col("_is_first"), handed_on).otherwise(F.col("_ahead")).alias("_before"))
+    same_group = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_before.group_{c}")) for c in group], F.col("_before").isNotNull())
+    return found.select(*df.columns, *[F.when(same_group, F.col(f"_before.value_{v}")).alias(f"prev_{v}") for v in values])

@@ -9,8 +9,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.hot_keys import HOT_ROWS, join_unique
-
 VERSION_COLUMNS = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
 
@@ -18,63 +16,86 @@ def _stamp(loaded_at: datetime) -> str:
     return f"{loaded_at:%Y-%m-%d %H:%M:%S}" + (f".{loaded_at.microsecond:06d}" if loaded_at.microsecond else "")
 
 
-def _opened(rows: DataFrame, key: str, loaded_at: datetime) -> DataFrame:
-    stamp = _stamp(loaded_at)
-    at = F.lit(stamp).cast("timestamp_ntz")
-    return rows.select(
-        "*",
-        F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(stamp))).alias("scd_id"),
-        at.alias("updated_at"),
-        at.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-    )
+MOST_COPIES = 1_000_000  # of one row unfolded in one step
 
 
-def _conflict(key: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"snapshot: different rows share {key} "), F.col(key).cast("string")))
+def _conflict(key: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("snapshot: different rows share the key "), key.cast("string")))
 
 
-def _without_conflicts(rows: DataFrame, key: str) -> DataFrame:
-    """The same rows, copies included; two different rows under one key fail the job.
-
-    Different rows are told by a 64-bit hash, folded per key before the shuffle.
-    """
-    hashes = rows.where(F.col(key).isNotNull()).select(key, F.xxhash64(*rows.columns).alias("h"))
-    bounds = hashes.groupBy(key).agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    # one condition, so that no part of it is checked before the keys are folded
-    failing = bounds.where(F.when(F.col("low") != F.col("high"), _conflict(key)).isNotNull()).select(key)
-    return rows.unionByName(failing, allowMissingColumns=True)
-
-
-def _single_rows(rows: DataFrame, key: str) -> DataFrame:
-    """One row per key; equal copies fold together, two different rows under one key fail the job."""
-    row = F.struct(*rows.columns)
-    conflict = _conflict(key)
-    return (
-        rows.groupBy(key)
-        .agg(F.min(row).alias("low"), F.max(row).alias("high"))
-        .select(key, F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(conflict).alias("row"))
-        .select(key, *[F.col(f"row.{c}").alias(c) for c in rows.columns if c != key])
-        .select(*rows.columns)
-    )
+def _differs(checked: list[str], one: Column, other: Column) -> Column:
+    return reduce(or_, [~one[c].eqNullSafe(other[c]) for c in checked], F.lit(False))
 
 
-def _differs(checked: list[str], other: str) -> Column:
-    return reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_{other}_{c}")) for c in checked], F.col(f"_{other}").isNull())
-
+def _merged(
+    current: DataFrame, stored: DataFrame | None, key: str, check_cols: list[str], loaded_at: datetime
+) -> DataFrame:
+    """All versions after the load, in one pass: both sides are read once, laid into one table and grouped by key once.
 
-def _beside(rows: DataFrame, key: str, checked: list[str], name: str) -> DataFrame:
-    """Key and checked columns under names of their own, to compare rows of two frames."""
-    return rows.select(key, F.lit(True).alias(f"_{name}"), *[F.col(c).alias(f"_{name}_{c}") for c in checked])
+    Equal rows fold into one row with a count ahead of the shuffle, so copies do not gather. Rows that meet nothing, those
+    without a key and closed versions, are grouped by their whole content instead.
+    """
+    columns = current.columns
+    stamp = _stamp(loaded_at)
+    at = F.lit(stamp).cast("timestamp_ntz")
+    never = F.lit(None).cast("timestamp_ntz")
+    fresh = current.select(
+        *columns,
+        F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(stamp))).alias("scd_id"),
+        at.alias("updated_at"),
+        at.alias("valid_from"),
+        never.alias("valid_to"),
+        F.lit(True).alias("_is_new"),
+    )
+    both = fresh
+    if stored is not None:
+        both = stored.select(*columns, *VERSION_COLUMNS, F.lit(False).alias("_is_new")).unionByName(fresh)
+    row = F.struct(*columns, *VERSION_COLUMNS)
+    is_new, is_closed = F.col("_is_new"), F.col("valid_to").isNotNull()
+    alone = F.when(is_closed | F.col(key).isNull(), F.struct("_is_new", row.alias("row")))
+    was = F.when(~is_new, row)
+    now = F.when(is_new, row)
+    grouped = (
+        both.groupBy(F.col(key).alias("_key"), alone.alias("_alone"))
+        .agg(
+            F.min(was).alias("was"),
+            F.max(was).alias("other_was"),
+            F.count(was).alias("n_was"),
+            F.min(now).alias("now"),
+            F.max(now).alias("other_now"),
+            F.count(now).alias("n_now"),
+        )
+    )
+    # different rows under one key make the comparison ambiguous
+    ambiguous = ~F.col("was").eqNullSafe(F.col("other_was")) | ~F.col("now").eqNullSafe(F.col("other_now"))
+    checked = [c for c in check_cols if c != key]
+    was, now = F.col("was"), F.col("now")
+    meets_nothing = F.col("_alone").isNotNull()
+    keeps = ~meets_nothing & was.isNotNull() & now.isNotNull() & ~_differs(checked, was, now)
+    closes = was["valid_to"].isNull() & ~keeps
+    reviewed = was.withField("valid_to", F.when(closes, at).otherwise(was["valid_to"]))
+    # the first load is a faithful copy, and rows without a key match no other; else copies count as one row
+    copies = F.col("n_now") if stored is None else F.when(meets_nothing, F.col("n_now")).otherwise(F.least("n_now", F.lit(1)))
+    versions = F.array(
+        F.struct(F.col("n_was").alias("n"), reviewed.alias("row")),
+        F.struct(F.when(keeps, 0).otherwise(copies).alias("n"), now.alias("row")),
+    )
+    checked_versions = F.when(ambiguous, _conflict(F.col("_key"))).otherwise(F.lit(True))
+    each = (
+        grouped.where(checked_versions)
+        .select(F.inline(versions))
+        .where("n > 0")
+        .select("row", F.col("n").cast("long").alias("n"))
+    )
+    # copies unfold in steps, so no array grows with their number
+    last_step = F.floor((F.col("n") - 1) / MOST_COPIES).cast("long")
+    steps = each.select("row", "n", F.explode(F.sequence(F.lit(0).cast("long"), last_step)).alias("_step"))
+    left = F.least(F.col("n") - F.col("_step") * MOST_COPIES, F.lit(MOST_COPIES))
+    return steps.select("row", F.explode(F.array_repeat(F.lit(True), left.cast("int"))).alias("_copy")).select("row.*")
 
 
 def load(
-    current: DataFrame,
-    open_rows: DataFrame | None,
-    key: str,
-    check_cols: list[str],
-    loaded_at: datetime,
-    hot_rows: int = HOT_ROWS,
+    current: DataFrame, open_rows: DataFrame | None, key: str, check_cols: list[str], loaded_at: datetime
 ) -> DataFrame:
     """The versions still open after loading ``current``, and those the load closed. Closed history is not needed.
 
@@ -84,36 +105,14 @@ def load(
     row without a valid one. A change in other columns opens nothing. Copies count as one row; different rows under one
     key make the comparison ambiguous and fail the load.
     """
-    if open_rows is None:
-        return _opened(_without_conflicts(current, key), key, loaded_at)
-
-    at = F.lit(_stamp(loaded_at)).cast("timestamp_ntz")
-    checked = [c for c in check_cols if c != key]
-    latest = _single_rows(current.where(F.col(key).isNotNull()), key)
-
-    # every open row, copies included, beside the one current row of its key
-    now = _beside(latest, key, checked, "now")
-    reviewed = join_unique(open_rows, now, [key], "left", hot_rows).select(
-        *current.columns, "scd_id", "updated_at", "valid_from", F.when(_differs(checked, "now"), at).alias("valid_to")
-    )
-    # every current row beside the one open version of its key; both are grouped by key already
-    was = _beside(_single_rows(open_rows.select(key, *checked), key), key, checked, "was")
-    added = latest.join(was, key, "left").where(_differs(checked, "was")).select(*current.columns)
-    # rows without key match nothing: each load closes the old and opens the new
-    added = added.unionByName(current.where(F.col(key).isNull()))
-    return reviewed.unionByName(_opened(added, key, loaded_at))
+    return _merged(current, open_rows, key, check_cols, loaded_at)
 
 
 def snapshot(
-    current: DataFrame,
-    history: DataFrame | None,
-    key: str,
-    check_cols: list[str],
-    loaded_at: datetime,
-    hot_rows: int = HOT_ROWS,
+    current: DataFrame, history: DataFrame | None, key: str, check_cols: list[str], loaded_at: datetime
 ) -> DataFrame:
-    """The whole history after loading ``current``; closed versions pass through untouched."""
-    if history is None:
-        return load(current, None, key, check_cols, loaded_at, hot_rows)
-    changed = load(current, history.where(F.col("valid_to").isNull()), key, check_cols, loaded_at, hot_rows)
-    return history.where(F.col("valid_to").isNotNull()).unionByName(changed)
+    """The whole history after loading ``current``; closed versions pass through untouched.
+
+    Each load adds one shuffle to the plan. A long history is better stored, and loaded by its open versions (``load``).
+    """
+    return _merged(current, history, key, check_cols, loaded_at)

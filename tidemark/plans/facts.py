@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day, month_start, months_apart
@@ -31,35 +31,48 @@ def subscription_monthly(lifecycle: DataFrame, as_of: date) -> DataFrame:
 def _trailing_counts(lifecycle: DataFrame, as_of: date, months: int, early_life_days: int) -> DataFrame:
     """One row per full month before ``as_of``: live at its start, churned in it, churned early.
 
-    The months are few and known, so a single aggregate counts them all in one pass, and months without
-    subscriptions keep their row.
+    A sweep over the months: a subscription adds one from the first month that starts after its go-live, takes one away
+    after the month in which it ends, and a running sum over the months counts the live ones. Changes ahead of the first
+    month count towards it, so at most ``months`` rows leave a task, and the plan is the same for any number of months.
+    Months without subscriptions come from the calendar, which is laid under the changes.
     """
-    starts = [F.add_months(month_start(day(as_of)), -back) for back in range(months, 0, -1)]
+    this_month = month_start(day(as_of))
+    first = F.add_months(this_month, -months)
     state, go_live, ended = F.col("lifecycle_state"), F.col("go_live_date"), F.col("cancelled_date")
-    went_live = state.isin(*LIVE_STATES)
     churned = state == "voluntary_cancellation"
     early = F.datediff(ended, go_live) <= early_life_days
-
-    def count(condition):
-        return F.count(F.when(condition, True))
-
-    counts, rows = [], []
-    for i, start in enumerate(starts):
-        in_month = churned & (month_start(ended) == start)
-        counts += [
-            count(went_live & (go_live < start) & (ended.isNull() | (ended >= start))).alias(f"live_{i}"),
-            count(in_month).alias(f"churned_{i}"),
-            count(in_month & early).alias(f"early_{i}"),
-        ]
-        rows.append(
-            F.struct(
-                start.alias("churn_month"),
-                F.col(f"live_{i}").alias("active_start_of_month"),
-                F.col(f"churned_{i}").alias("churned_subs"),
-                F.col(f"early_{i}").alias("early_life_churned_subs"),
-            )
-        )
-    return lifecycle.agg(*counts).select(F.inline(F.array(*rows)))
+    enters = F.greatest(F.add_months(month_start(go_live), 1), first)
+    left_in = month_start(ended)
+    leaves = F.greatest(F.add_months(left_in, 1), first)
+    is_counted = state.isin(*LIVE_STATES) & go_live.isNotNull() & (ended.isNull() | (leaves > enters))
+
+    def change(month: Column, live: int | Column, churned: int | Column, early: int | Column) -> Column:
+        values = {"live": live, "churned": churned, "early": early}
+        return F.struct(month.alias("churn_month"), *[F.lit(v).cast("long").alias(k) for k, v in values.items()])
+
+    changes = F.array(
+        F.when(is_counted, change(enters, 1, 0, 0)),
+        F.when(is_counted & ended.isNotNull(), change(leaves, -1, 0, 0)),
+        F.when(churned & (left_in >= first), change(left_in, 0, 1, F.when(early, 1).otherwise(0))),
+    )
+    calendar = lifecycle.sparkSession.range(1).select(
+        F.explode(F.sequence(first, F.add_months(this_month, -1), F.expr("interval 1 month"))).alias("churn_month"),
+        *[F.lit(0).cast("long").alias(c) for c in ("live", "churned", "early")],
+    )
+    by_month = (
+        lifecycle.select(F.inline(changes))
+        .where(F.col("churn_month") < this_month)
+        .unionByName(calendar)
+        .groupBy("churn_month")
+        .agg(*[F.sum(c).alias(c) for c in ("live", "churned", "early")])
+    )
+    so_far = Window.orderBy("churn_month").rowsBetween(Window.unboundedPreceding, 0)  # one row per month
+    return by_month.select(
+        "churn_month",
+        F.sum("live").over(so_far).alias("active_start_of_month"),
+        F.col("churned").alias("churned_subs"),
+        F.col("early").alias("early_life_churned_subs"),
+    )
 
 
 def churn_denominator(lifecycle: DataFrame, as_of: date, months: int = 12) -> DataFrame:
@@ -85,7 +98,6 @@ def churn_metrics(lifecycle: DataFrame, as_of: date, months: int = 12, early_lif
     churned, live = F.col("churned_subs"), F.col("active_start_of_month")
     return (
         _trailing_counts(lifecycle, as_of, months, early_life_days)
-        .where(F.col("churn_month") < month_start(day(as_of)))
         .select(
             "*",
             percent(churned, live, 2).alias("monthly_churn_rate_pct"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rates import percent, risk_ratio
 from tidemark.operators.hot_keys import HOT_ROWS, join_unique
-from tidemark.operators.lookback import last_seen_before, within
+from tidemark.operators.lookback import last_seen_before, rows_with_last_seen, within
 
 # Signal names of the scan (fixed values): mark -> name
 CUSTOMER_SIGNALS = {
@@ -51,10 +51,9 @@ def customer_signal(
     base: DataFrame, sightings: DataFrame, mark: str, window_days: int = 60, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """(subscription_id) of the base subscriptions whose customer shows ``mark`` in the days before the reference date."""
-    seen = last_seen_before(base, sightings.where(mark), "customer_id", "reference_date", [], [mark])
-    matched = seen.where(within(mark, "reference_date", window_days)).select("customer_id", "reference_date")
-    keys = ["customer_id", "reference_date"]
-    return join_unique(base, matched, keys, "left_semi", hot_rows).select("subscription_id")
+    anchors = base.select("subscription_id", "customer_id", "reference_date")
+    seen = rows_with_last_seen(anchors, sightings.where(mark), "customer_id", "reference_date", [mark], hot_rows)
+    return seen.where(within(mark, "reference_date", window_days)).select("subscription_id")
 
 
 def usage_flags(
@@ -69,7 +68,7 @@ def usage_flags(
     """Per base subscription with usage in its window: did call minutes drop between the halves, did concurrency peak?
 
     Usage, the largest table, is shuffled once, to the base row of its subscription; where AQE measures the base as small
-    it is broadcast instead. Rows of a subscription with more than ``hot_rows`` of them stay in place. Days without calls
+    it is broadcast instead. Rows of a subscription with more than ``hot_rows`` of them are salted. Days without calls
     report a default peak and do not count. ``drop_threshold`` is exact: a decimal with any number of digits up to 18.
     """
     daily = usage.select(
