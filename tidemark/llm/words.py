@@ -76,3 +76,18 @@ def coded(found: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Numbers of the words and the distinct words that they stand for."""
     encoded = found.dictionary_encode()
     return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+
+
+TERM = np.zeros(256, dtype=bool)  # bytes of letters, digits and everything beyond ASCII, once lower-cased
+TERM[48:58] = TERM[97:123] = TERM[128:] = True
+
+
+def stretches(texts: pa.Array, kept: np.ndarray, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """The longest runs of ``kept`` bytes of all texts in order, and how many each text has."""
+    data, offsets = text_bytes(texts)
+    data = LOWER[data] if lower else data
+    keep = kept[data]
+    begins = keep.copy()
+    begins[1:] &= ~keep[:-1]
+    begins |= keep & text_starts(offsets, len(data))
+    return pieces(data, offsets, begins, keep)
