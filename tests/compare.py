@@ -31,7 +31,7 @@ def expected(con: duckdb.DuckDBPyConnection, name: str) -> tuple[dict[str, str],
 
 
 TYPES = {
-    "BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double",
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double",
     "BOOLEAN": "boolean",
 }
 
