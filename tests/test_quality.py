@@ -50,6 +50,15 @@ def test_orphans(spark):
     assert rows(found) == [("c", "p", "k", 5, 2), ("d", "p", "k", 0, 0), ("e", "p", "k", 3, 0)]
 
 
+def test_ids_as_sets_of_bits(spark):
+    ids = [0, 1, 63, 64, -1, -64, -65, 2**62, -(2**63), 2**63 - 1, 5, 5, None]
+    parent = spark.createDataFrame([(i,) for i in ids], "k bigint")
+    child = spark.createDataFrame([(i,) for i in [*ids, 2, 62, 65, -2, -63, -66, 2**62 + 1, 10**9]], "k bigint")
+    assert rows(quality.orphans({"c": child}, parent, "p", "k")) == [("c", "p", "k", 20, 8)]
+    assert quality.known_ids(spark.range(6400).withColumnRenamed("id", "k"), "k").count() == 100
+    assert rows(quality.orphans({"c": child}, parent.where("false"), "p", "k")) == [("c", "p", "k", 20, 20)]
+
+
 def test_a_hot_key_has_many_rows(spark, monkeypatch):
     monkeypatch.undo()
     with pytest.raises(ValueError, match="at least"):

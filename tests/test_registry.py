@@ -39,7 +39,7 @@ def test_plan_stays_in_the_jvm_without_pairing_all_rows(spark, name):
         assert word not in plan
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in contract._stored_queries()])  # those write and read back
 def test_building_a_query_runs_no_job(spark, name):
     group = f"building {name}"
     spark.sparkContext.setJobGroup(group, group)

@@ -4,8 +4,8 @@ import pytest
 from helpers import d, rows, ts
 
 from tidemark.operators.snapshot import load
-from tidemark.plans import build
-from tidemark.sources import sample, tables
+from tidemark.plans import build, indicators, stored
+from tidemark.sources import layout, sample, tables
 from tidemark.sources.schemas import RAW
 
 SF = "/root/testdata/sf0.001"
@@ -125,7 +125,8 @@ def test_whole_build(spark, tmp_path):
     assert spark.table("stg_subscriptions").count() == 1500
 
     # a second day with the same source: same marts, nothing closed
-    again = build.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.SECOND_LOAD)
+    again = build.build(spark, raw, str(tmp_path / "out"), sample.AS_OF, sample.SECOND_LOAD, buckets=4)
+    assert rows(again["leading_indicator_scan"]) == rows(marts["leading_indicator_scan"])
     assert again["subscription_monthly"].count() == 42178
     schema = tables.history_schema(raw["subscriptions"].schema)
     history = tables.read_history(spark, str(tmp_path / "out/snapshots/subscriptions"), schema)
@@ -133,3 +134,88 @@ def test_whole_build(spark, tmp_path):
     # frames of the first build still read what they read before, and a repeated run is no error
     assert marts["subscription_monthly"].count() == 42178
     build.refresh_histories(spark, raw, str(tmp_path / "out"), sample.SECOND_LOAD)
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    head = "customer_id,signup_date,region,acquisition_channel,size_band\n"
+    lines = ["1,2024-01-01,a,b,c", "x,2024-01-01,a,b,c", "3,soon,a,b,c", "4,2024-01-01,a", "5,2024-01-01,a,b,c,d", "6,,,,", '7,2024-01-01,"a,b",b,c']
+    (tmp_path / "a.csv").write_text(head + "\n".join(lines[:4]) + "\n")
+    (tmp_path / "b.csv").write_text(head + "\n".join(lines[4:]) + "\n")
+    good, rejected = tables.read_csv_or_reject(spark, str(tmp_path), "customers")
+    assert good.schema.simpleString() == spark.createDataFrame([], RAW["customers"]).schema.simpleString()
+    assert rows(good, "customer_id") == [(1,), (6,), (7,)]  # whichever columns are asked for
+    assert rows(good.where("customer_id = 7"), "region") == [("a,b",)]
+    assert good.count() == 3 and rejected.count() == 4
+    found = {r.record: (r.file.rpartition("/")[2], r.reason) for r in rejected.collect()}
+    assert found == {
+        lines[1]: ("a.csv", "customer_id is no bigint"),
+        lines[2]: ("a.csv", "signup_date is no date"),
+        lines[3]: ("a.csv", "number of fields"),
+        lines[4]: ("b.csv", "number of fields"),
+    }
+    loaded = tables.load_csv(spark, str(tmp_path), "customers", str(tmp_path / "rejects"))
+    assert rows(loaded) == rows(good)
+    assert rows(tables.current_table(spark, str(tmp_path / "rejects"))) == rows(rejected)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_join_without_a_shuffle(spark, tmp_path):
+    base = spark.createDataFrame([(i, i % 3 == 0, d("2024-03-01")) for i in range(200)], "subscription_id bigint, is_churned boolean, reference_date date")
+    days = [(i % 200, d(f"2024-02-{1 + i % 28:02}"), i % 4, float(i % 90), i % 11) for i in range(3000)]
+    usage = spark.createDataFrame(days, "subscription_id bigint, usage_date date, call_count bigint, call_minutes double, concurrent_peak bigint")
+    usage = usage.withColumn("call_minutes", usage.call_minutes.cast("decimal(10,2)"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flags = stored.usage_flags_from_buckets(base, usage, str(tmp_path), 4)
+        plan = plan_of(flags)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        assert rows(flags) == rows(indicators.usage_flags(base, usage))
+        schema = spark.read.parquet(str(tmp_path / "days")).schema
+        again = layout.attach_buckets(spark, "attached_days", str(tmp_path / "days"), schema, "subscription_id", 4, ("usage_date",))
+        assert "Exchange" not in plan_of(again.groupBy("subscription_id").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.sql("DROP TABLE IF EXISTS attached_days")
+
+
+def test_daily_usage_bounds_the_rows_of_a_subscription(spark):
+    days = [(1, d("2024-02-01"), i % 2, 1.5, i) for i in range(50)] + [(None, d("2024-02-01"), 1, 1.0, 1), (2, None, 1, 1.0, 1)]
+    usage = spark.createDataFrame(days, "subscription_id bigint, usage_date date, call_count bigint, call_minutes double, concurrent_peak bigint")
+    assert rows(indicators.daily_usage(usage)) == [(1, d("2024-02-01"), 75.0, 49)]
+
+
+def rows_scanned(df):
+    """Rows that left the scan of a plan that has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_an_index_reads_few_rows(spark, tmp_path):
+    n = 200_000
+    df = spark.range(n).selectExpr("(id * 7919) % 100000 * 2 as customer_id", "id % 5 as product", "id as subscription_id", "repeat('x', 20) as t")
+    path = str(tmp_path / "index")
+    index = layout.publish_index(df, path, "customer_id", ("product", "subscription_id"))
+    found = index.where("customer_id = 4242")
+    assert sorted(map(tuple, found.collect())) == rows(df.where("customer_id = 4242"))
+    assert 2 <= rows_scanned(found) < n / 4
+    absent = index.where("customer_id = 4243")  # within the bounds, but no such key: the Bloom filter says so
+    assert absent.collect() == [] and rows_scanned(absent) == 0
+
+
+def test_footers_give_counts_and_bounds_without_reading_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, d("2024-01-02"), "a"), (5, -2.5, d("2023-01-02"), "b"), (2, 0.5, None, None)], "i int, x double, day date, s string")
+    df.coalesce(1).write.parquet(str(tmp_path / "whole"))
+    df.repartition(3, "i").write.parquet(str(tmp_path / "nulls"))  # one file without any x, one without any day
+    pushed = layout.column_bounds(layout._footer_session(spark).read.parquet(str(tmp_path / "whole")))
+    assert "PushedAggregation: [COUNT(*), MIN(i), MAX(i), MIN(x), MAX(x), MIN(day), MAX(day)]" in plan_of(pushed)
+    out = layout.footer_bounds(spark, {t: str(tmp_path / t) for t in ("whole", "nulls")})
+    one = [("day", 3, None, None, d("2023-01-02"), d("2024-01-02")), ("i", 3, 1.0, 5.0, None, None), ("x", 3, -2.5, 0.5, None, None)]
+    assert rows(out) == [(t, *r) for t in ("nulls", "whole") for r in one]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

@@ -97,16 +97,33 @@ def ranges(
     return bounds.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
 
 
+def _word(key: str) -> Column:
+    """The number of the group of 64 neighbouring whole numbers that a key belongs to."""
+    return F.shiftright(F.col(key).cast("long"), 6)
+
+
+def known_ids(parent: DataFrame, key: str) -> DataFrame:
+    """(word, ids): the whole-number keys of a table as a set of bits, 64 neighbouring keys in one row.
+
+    Built in each task and combined, so a table of keys without gaps shuffles one row in 64 of it; at worst, with keys far
+    apart, one short row per key. Negative keys are keys like others, null is none.
+    """
+    bit = F.expr(f"shiftleft(1L, cast(cast(`{key}` AS bigint) & 63 AS int))")
+    return parent.where(F.col(key).isNotNull()).groupBy(_word(key).alias("word")).agg(F.bit_or(bit).alias("ids"))
+
+
 def orphans(children: dict[str, DataFrame], parent: DataFrame, parent_name: str, key: str) -> DataFrame:
-    """(child_table, parent_table, key_column, n_rows, n_orphans) of each child: rows whose key the parent lacks.
+    """(child_table, parent_table, key_column, n_rows, n_orphans) of each child: rows whose whole-number key the parent lacks.
 
     Null keys are not orphans and not counted. Children are counted per key before the one join of all of them with the
-    parent, so a key with many rows moves as one row per task.
+    parent's set of bits, so a key with many rows moves as one row per task.
     """
     tables = [df.where(F.col(key).isNotNull()).select(F.lit(t).alias("child_table"), key) for t, df in children.items()]
     counted = reduce(DataFrame.unionByName, tables).groupBy(key, "child_table").agg(F.count("*").alias("n"))
-    known = parent.select(key).distinct().withColumn("_known", F.lit(True))
-    found = counted.join(known, key, "left").select("child_table", "n", F.when(F.col("_known").isNull(), F.col("n")).alias("lost"))
+    counted = counted.select("child_table", "n", _word(key).alias("word"), F.col(key).cast("long").bitwiseAND(F.lit(63)).alias("bit"))
+    is_known = F.coalesce(F.getbit("ids", F.col("bit").cast("int")) == 1, F.lit(False))
+    found = counted.join(known_ids(parent, key), "word", "left")
+    found = found.select("child_table", "n", F.when(~is_known, F.col("n")).alias("lost"))
     # a row for each table, also one without rows
     names = parent.sparkSession.createDataFrame([(t, 0, None) for t in children], "child_table string, n long, lost long")
     sums = found.unionByName(names).groupBy("child_table")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.snapshot import load
 from tidemark.plans import facts, indicators, lifecycle, staging
+from tidemark.sources.layout import publish_buckets
 from tidemark.sources.tables import (
     history_schema,
     is_stored,
@@ -45,11 +47,14 @@ def stage(raw: dict[str, DataFrame], histories: dict[str, DataFrame], as_of: dat
     }
 
 
-def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date, loaded_at: datetime) -> dict[str, DataFrame]:
+def build(
+    spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date, loaded_at: datetime, buckets: int | None = None
+) -> dict[str, DataFrame]:
     """Refresh everything under ``root``, a folder all executors reach, and return the marts as read back from it.
 
     The lifecycle is written once: three marts and the base read it, and a lost executor costs none of them a
-    second run of its windows.
+    second run of its windows. With ``buckets`` the base and the daily usage are stored too, in so many buckets of the
+    subscription: the scan then joins them without a shuffle, and so does any later scan of the same tables.
     """
     histories = refresh_histories(spark, raw, root, loaded_at)
     staged = stage(raw, histories, as_of)
@@ -63,6 +68,13 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date
     publish_view(states, "int_subscription_lifecycle")
     base = publish_view(lifecycle.indicator_base(states, as_of), "int_leading_indicator_base")
 
+    usage = staged["usage_daily"]
+    if buckets:
+        run = uuid.uuid4().hex
+        place, key = f"{root}/buckets/{run}", "subscription_id"
+        base = publish_buckets(base, f"base_{run}", f"{place}/base", key, buckets)
+        usage = publish_buckets(indicators.daily_usage(usage), f"usage_{run}", f"{place}/usage", key, buckets, ("usage_date",))
+
     marts = {
         "subscription_monthly": publish_table(
             facts.subscription_monthly(states, as_of),
@@ -73,7 +85,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of: date
         "churn_metrics": publish_table(facts.churn_metrics(states, as_of), f"{root}/marts/churn_metrics"),
         "leading_indicator_scan": publish_table(
             indicators.leading_indicator_scan(
-                base, staged["support_contacts"], staged["portal_events"], staged["billings"], staged["usage_daily"]
+                base, staged["support_contacts"], staged["portal_events"], staged["billings"], usage
             ),
             f"{root}/marts/leading_indicator_scan",
         ),

@@ -56,6 +56,25 @@ def customer_signal(
     return seen.where(within(mark, "reference_date", window_days)).select("subscription_id")
 
 
+def _usage_days(usage: DataFrame) -> DataFrame:
+    """Days without calls report a default peak and do not count."""
+    return usage.select(
+        "subscription_id",
+        "usage_date",
+        F.col("call_minutes").alias("minutes"),
+        F.when(F.col("call_count") > 0, F.col("concurrent_peak")).alias("peak"),
+    )
+
+
+def daily_usage(usage: DataFrame) -> DataFrame:
+    """(subscription_id, usage_date, minutes, peak): usage as the signals need it, one row per subscription and day.
+
+    To be stored, in buckets of subscription_id: no subscription has more rows than there are days.
+    """
+    days = _usage_days(usage.where(F.col("subscription_id").isNotNull() & F.col("usage_date").isNotNull()))
+    return days.groupBy("subscription_id", "usage_date").agg(F.sum("minutes").alias("minutes"), F.max("peak").alias("peak"))
+
+
 def usage_flags(
     base: DataFrame,
     usage: DataFrame,
@@ -68,22 +87,19 @@ def usage_flags(
     """Per base subscription with usage in its window: did call minutes drop between the halves, did concurrency peak?
 
     Usage, the largest table, is shuffled once, to the base row of its subscription; where AQE measures the base as small
-    it is broadcast instead. Rows of a subscription with more than ``hot_rows`` of them are salted. Days without calls
-    report a default peak and do not count. ``drop_threshold`` is exact: a decimal with any number of digits up to 18.
+    it is broadcast instead. Rows of a subscription with more than ``hot_rows`` of them are salted.
+    ``drop_threshold`` is exact: a decimal with any number of digits up to 18. ``usage`` may be the table of ``daily_usage``
+    instead: it has no hot keys, takes the plain join, and where it and the base are stored in buckets shuffles nothing.
     """
-    daily = usage.select(
-        "subscription_id",
-        "usage_date",
-        F.col("call_minutes").alias("minutes"),
-        F.when(F.col("call_count") > 0, F.col("concurrent_peak")).alias("peak"),
-    )
+    wanted = base.select("subscription_id", "is_churned", "reference_date")
+    if "minutes" in usage.columns:
+        joined = usage.join(wanted, "subscription_id")
+    else:
+        joined = join_unique(_usage_days(usage), wanted, ["subscription_id"], "inner", hot_rows)
     reference, used = F.col("reference_date"), F.col("usage_date")
     is_recent = used >= F.date_sub(reference, recent_days)
     sums = (
-        join_unique(
-            daily, base.select("subscription_id", "is_churned", "reference_date"), ["subscription_id"], "inner", hot_rows
-        )
-        .where((used < reference) & (used >= F.date_sub(reference, window_days)))
+        joined.where((used < reference) & (used >= F.date_sub(reference, window_days)))
         .groupBy("subscription_id", "is_churned")
         .agg(
             F.coalesce(F.sum(F.when(is_recent, F.col("minutes"))), F.lit(0)).alias("recent"),

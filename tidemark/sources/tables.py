@@ -18,6 +18,38 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(RAW[table]).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
 
 
+def read_csv_or_reject(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV files that fit the declared schema, and the others as (file, record, reason).
+
+    Every line is one or the other, whichever columns are asked for. The reason names the first column whose text is not of its
+    type; without one the line has too few or too many fields. Both frames are lazy and read the files.
+    """
+    fields = StructType.fromDDL(RAW[table]).fields
+    columns = [f.name for f in fields]
+    marked = StructType([*fields, StructField("_rejected", StringType())])
+    rows = spark.read.schema(marked).csv(
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rejected", enforceSchema=False
+    )
+    # the reader checks the fields it is asked for, so each row asks for all of them, in a condition that always holds
+    rows = rows.where(F.xxhash64(*columns) >= F.lit(-(1 << 63)))
+    fits = F.col("_rejected").isNull()
+    texts = F.from_csv("_rejected", ", ".join(f"{c} string" for c in columns))
+    reason = F.lit("number of fields")
+    for field in reversed(fields):
+        text = F.col(f"_texts.{field.name}")
+        wrong = text.isNotNull() & (text != "") & text.try_cast(field.dataType).isNull()
+        reason = F.when(wrong, F.lit(f"{field.name} is no {field.dataType.simpleString()}")).otherwise(reason)
+    rejected = rows.where(~fits).select(F.input_file_name().alias("file"), F.col("_rejected").alias("record"), texts.alias("_texts"))
+    return rows.where(fits).select(columns), rejected.select("file", "record", reason.alias("reason"))
+
+
+def load_csv(spark: SparkSession, path: str, table: str, rejects: str) -> DataFrame:
+    """The rows of CSV files that fit the declared schema; the others are first stored as a version of the table ``rejects``."""
+    good, rejected = read_csv_or_reject(spark, path, table)
+    publish_table(rejected, rejects)
+    return good
+
+
 def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(RAW[table]).parquet(path)
 
