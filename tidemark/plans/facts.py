@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import day, month_start, months_apart
@@ -28,16 +28,13 @@ def subscription_monthly(lifecycle: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def _trailing_counts(lifecycle: DataFrame, as_of: date, months: int, early_life_days: int) -> DataFrame:
-    """One row per full month before ``as_of``: live at its start, churned in it, churned early.
+def month_changes(as_of: date, months: int, early_life_days: int) -> Column:
+    """What one subscription changes in the trailing months: an array of (churn_month, live, churned, early), nulls included.
 
-    A sweep over the months: a subscription adds one from the first month that starts after its go-live, takes one away
-    after the month in which it ends, and a running sum over the months counts the live ones. Changes ahead of the first
-    month count towards it, so at most ``months`` rows leave a task, and the plan is the same for any number of months.
-    Months without subscriptions come from the calendar, which is laid under the changes.
+    It adds one live subscription from the first month that starts after its go-live, and takes one away after the month
+    in which it ends; changes ahead of the first month count towards it. Months from ``as_of`` on are to be left out.
     """
-    this_month = month_start(day(as_of))
-    first = F.add_months(this_month, -months)
+    first = F.add_months(month_start(day(as_of)), -months)
     state, go_live, ended = F.col("lifecycle_state"), F.col("go_live_date"), F.col("cancelled_date")
     churned = state == "voluntary_cancellation"
     early = F.datediff(ended, go_live) <= early_life_days
@@ -50,21 +47,35 @@ def _trailing_counts(lifecycle: DataFrame, as_of: date, months: int, early_life_
         values = {"live": live, "churned": churned, "early": early}
         return F.struct(month.alias("churn_month"), *[F.lit(v).cast("long").alias(k) for k, v in values.items()])
 
-    changes = F.array(
+    return F.array(
         F.when(is_counted, change(enters, 1, 0, 0)),
         F.when(is_counted & ended.isNotNull(), change(leaves, -1, 0, 0)),
         F.when(churned & (left_in >= first), change(left_in, 0, 1, F.when(early, 1).otherwise(0))),
     )
-    calendar = lifecycle.sparkSession.range(1).select(
-        F.explode(F.sequence(first, F.add_months(this_month, -1), F.expr("interval 1 month"))).alias("churn_month"),
-        *[F.lit(0).cast("long").alias(c) for c in ("live", "churned", "early")],
-    )
+
+
+def trailing_months(spark: SparkSession, as_of: date, months: int) -> DataFrame:
+    """(churn_month): the full months before ``as_of``."""
+    this_month = month_start(day(as_of))
+    span = F.sequence(F.add_months(this_month, -months), F.add_months(this_month, -1), F.expr("interval 1 month"))
+    return spark.range(1).select(F.explode(span).alias("churn_month"))
+
+
+def _trailing_counts(lifecycle: DataFrame, as_of: date, months: int, early_life_days: int) -> DataFrame:
+    """One row per full month before ``as_of``: live at its start, churned in it, churned early.
+
+    A sweep over the months: a running sum over their changes counts the live ones. At most ``months`` rows leave a task, and
+    the plan is the same for any number of months. Months without subscriptions come from the calendar, which is laid under
+    the changes.
+    """
+    counts = ["live", "churned", "early"]
+    calendar = trailing_months(lifecycle.sparkSession, as_of, months).select("churn_month", *[F.lit(0).cast("long").alias(c) for c in counts])
     by_month = (
-        lifecycle.select(F.inline(changes))
-        .where(F.col("churn_month") < this_month)
+        lifecycle.select(F.inline(month_changes(as_of, months, early_life_days)))
+        .where(F.col("churn_month") < month_start(day(as_of)))
         .unionByName(calendar)
         .groupBy("churn_month")
-        .agg(*[F.sum(c).alias(c) for c in ("live", "churned", "early")])
+        .agg(*[F.sum(c).alias(c) for c in counts])
     )
     so_far = Window.orderBy("churn_month").rowsBetween(Window.unboundedPreceding, 0)  # one row per month
     return by_month.select(
