@@ -57,6 +57,24 @@ def test_table_and_no_rows(spark):
     assert exact_dedup.drop_exact_duplicates(df.limit(0)).collect() == []
 
 
+def test_one_row_three_million_times(spark):
+    df = spark.range(0, 3_000_000, 1, 8).selectExpr("7L as doc_id", "'Same' as text")
+    df = df.unionByName(spark.createDataFrame([(3, "same"), (9, "other")], "doc_id long, text string"))
+    found = exact_dedup.exact_duplicates(df).groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()
+    assert sorted(tuple(r) for r in found) == [
+        (3, 7, 3_000_001, False, 1), (7, 7, 3_000_001, False, 2_999_999), (7, 7, 3_000_001, True, 1), (9, 9, 1, True, 1),
+    ]
+
+
+def test_copies_are_written_out_in_steps_over_many_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact_dedup, "STEP", 10)
+    df = spark.range(1_000).selectExpr("7L as doc_id", "'Same' as text")
+    out = exact_dedup.exact_duplicates(df).withColumn("task", F.spark_partition_id()).collect()
+    assert len(out) == 1_000 and sum(r.kept for r in out) == 1 and len({r.task for r in out}) > 3
+
+
 def test_nothing_leaves_the_jvm(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for result in (exact_dedup.exact_duplicates(df), exact_dedup.drop_exact_duplicates(df)):

@@ -18,11 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import written
+from tidemark.llm.shared import partitions, written
 
 TRACKED = 2_000
 CANDIDATES = 500
 MERGED = 64
+STEP = 100_000  # copies of one row that are written out in one step
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,7 +64,8 @@ def frequent(table: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-    An empty table gives an empty result. Columns other than the two named ones are not read.
+    An empty table gives an empty result. Columns other than the two named ones are not read. Rows repeated with one id are
+    rows each, of which one stays.
     """
     table = digests(docs, id_col, text_col)
     winners = written(frequent(table), "frequent")
@@ -81,9 +83,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heavy = table.join(F.broadcast(winners), "text_sha256")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     dropped = heavy.where(~stays).withColumn("kept", F.lit(False))
-    # normally one row for each digest; rows repeated with that id are counted and written out again
+    # normally one row for each digest; rows repeated with that id are counted and written out again, in steps of bounded
+    # size that are dealt over all tasks
     repeated = heavy.where(stays).groupBy("doc_id", "keep_id", "group_size", "text_sha256").agg(F.count("*").alias("n"))
-    last = repeated.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n")))).withColumn("kept", F.col("i") == 1)
+    last_step = F.floor((F.col("n") - 1) / STEP).cast("long")
+    steps = repeated.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last_step)))
+    steps = steps.repartition(partitions(docs.sparkSession), "text_sha256", "step")
+    left = F.least(F.col("n") - F.col("step") * STEP, F.lit(STEP)).cast("int")
+    last = steps.select("*", F.posexplode(F.array_repeat(F.lit(True), left)).alias("i", "copy"))
+    last = last.withColumn("kept", (F.col("step") == 0) & (F.col("i") == 0))
 
     columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     return light.select(columns).unionByName(dropped.select(columns)).unionByName(last.select(columns))
