@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm import topk
@@ -43,3 +44,39 @@ def test_odd_vectors(spark):
         assert found(df, k) == plain(ODD, k)
     assert found(df.limit(0), 10) == []
     assert found(df.where("vec_id % 100 <> 0"), 10) == []
+
+
+def test_shards_have_the_stated_size(spark):
+    """Batches to Python hold 1,000 rows; a shard gathers over them."""
+    df = spark.range(0, 20_000, 1, 1).selectExpr("id", "array(id, -id) as v")
+    topk.ship(spark)
+    packs = topk.packed(df, 16_384).collect()
+    assert [len(p.ids) // 8 for p in packs] == [16_384, 3_616]
+    ids, vectors = topk.unpacked(*packs[1])
+    assert ids.tolist() == list(range(16_384, 20_000)) and (vectors == np.stack([ids, -ids], axis=1)).all()
+    uneven = [len(p.ids) // 8 for p in topk.packed(df, 1_500).collect()]
+    assert uneven == [1_500] * 13 + [500]
+
+
+def test_blocks_are_left_out_and_results_are_exact(spark, monkeypatch):
+    """40,000 vectors whose length falls with the id: the best are in the first blocks, and the bounds of the others tell."""
+    rng = np.random.default_rng(1)
+    ids, scale = np.arange(40_000), np.exp(-np.arange(40_000) / 4_000)
+    vectors = np.floor(1024 * rng.normal(size=(40_000, 8)) * scale[:, None]).astype(np.int64)
+    scored, products = [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda q, v: scored.append(len(v) if len(q) == 1 else 0) or products(q, v))
+    queries = ids[::1000]
+    place, names, score = topk.best_of_shard(queries, vectors[queries], ids, vectors, 10)
+    assert sum(scored) < len(queries) * 40_000 / 2  # most blocks are left out
+    for i, q in enumerate(queries):
+        every = vectors @ vectors[q]
+        best = [j for j in np.lexsort((ids, -every)) if j != q][:10]
+        assert names[place == i].tolist() == best and score[place == i].tolist() == every[best].tolist()
+    df = spark.createDataFrame([(int(i), (v / 1024).tolist()) for i, v in zip(ids[:20_000], vectors[:20_000])], "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, F.col("vec_id") % 1000 == 0, 10, shard=4_096).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in queries[:20]:
+        every = vectors[:20_000] @ vectors[q]
+        best = [j for j in np.lexsort((ids[:20_000], -every)) if j != q][:10]
+        assert sorted(got[q]) == [(n, int(j), int(every[j])) for n, j in enumerate(best, 1)]

@@ -34,16 +34,32 @@ def whole(vector: Column, scale: int) -> Column:
 
 
 def packed(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (id, v) of a partition as packed rows of at most ``most`` vectors: ids, values (64 bits each), ends."""
+    """Rows (id, v) of a partition as packed rows of at most ``most`` vectors: ids, values (64 bits each), ends.
+
+    Vectors are gathered over the batches that Spark sends, whatever their size, so only the last row of a partition holds fewer.
+    """
+
+    def flush(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        ids, lengths, values = (np.concatenate(c) for c in zip(*parts, strict=True))
+        columns = [c.tobytes() for c in (ids, values, np.cumsum(lengths))]
+        return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["ids", "values", "ends"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, most):
-                part = batch.slice(start, most)
-                ends = np.cumsum(pc.list_value_length(part["v"]).to_numpy().astype(np.int64))
-                values = part["v"].flatten().to_numpy(zero_copy_only=False)
-                columns = [part["id"].to_numpy().tobytes(), values.astype(np.int64).tobytes(), ends.tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["ids", "values", "ends"])
+            start = 0
+            while start < batch.num_rows:
+                part = batch.slice(start, most - n)
+                start += part.num_rows
+                n += part.num_rows
+                lengths = pc.list_value_length(part["v"]).to_numpy(zero_copy_only=False).astype(np.int64)
+                values = part["v"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                held.append((part["id"].to_numpy(zero_copy_only=False).astype(np.int64), lengths, values))
+                if n == most:
+                    yield flush(held)
+                    held, n = [], 0
+        if n:
+            yield flush(held)
 
     return rows.select("id", "v").mapInArrow(pack, "ids binary, values binary, ends binary")
 
