@@ -53,19 +53,10 @@ def _merged(
     row = F.struct(*columns, *VERSION_COLUMNS)
     is_new, is_closed = F.col("_is_new"), F.col("valid_to").isNotNull()
     alone = F.when(is_closed | F.col(key).isNull(), F.struct("_is_new", row.alias("row")))
-    was = F.when(~is_new, row)
-    now = F.when(is_new, row)
-    grouped = (
-        both.groupBy(F.col(key).alias("_key"), alone.alias("_alone"))
-        .agg(
-            F.min(was).alias("was"),
-            F.max(was).alias("other_was"),
-            F.count(was).alias("n_was"),
-            F.min(now).alias("now"),
-            F.max(now).alias("other_now"),
-            F.count(now).alias("n_now"),
-        )
-    )
+    sides = {"now": row if stored is None else F.when(is_new, row)}
+    sides["was"] = F.lit(None).cast(both.select(row.alias("row")).schema["row"].dataType) if stored is None else F.when(~is_new, row)
+    folded = [f(c).alias(name + side) for side, c in sides.items() for name, f in (("", F.min), ("other_", F.max), ("n_", F.count))]
+    grouped = both.groupBy(F.col(key).alias("_key"), alone.alias("_alone")).agg(*folded)
     # different rows under one key make the comparison ambiguous
     ambiguous = ~F.col("was").eqNullSafe(F.col("other_was")) | ~F.col("now").eqNullSafe(F.col("other_now"))
     checked = [c for c in check_cols if c != key]
