@@ -59,6 +59,10 @@ def test_odd_rows(spark):
     model = mixing.train(docs, none, ["a", "b"], queries.F.lit(True))
     found = mixing.rates_of(docs, model, {"a": 1, "b": 3})
     assert found.count() == 4 and {r.n_tokens for r in found.collect()} == {0, 2}
+    assert mixing.rates_of(docs.limit(0), model, {"a": 1, "b": 3}).collect() == []
+    long = spark.createDataFrame([(1, "word " * 300_000), (2, "x" * 900_000)], "doc_id long, text string")
+    found = {r.doc_id: r.n_tokens for r in mixing.rates_of(long, model, {"a": 1, "b": 1}).collect()}
+    assert found == {1: 300_000, 2: 1}
     again = mixing.mixed(docs, model, {"a": 1, "b": 1}, total=2.0, least=1.0)
     assert again.columns == docs.columns and again.count() == 8
     assert mixing.mixed(docs.limit(0), model, {"a": 1, "b": 1}).collect() == []

@@ -209,7 +209,8 @@ def rates_of(
 ) -> DataFrame:
     """doc_id, n_tokens, posteriors (by name of the domain), rate and copies of every row.
 
-    Null texts are empty: they have no tokens and count for nothing, but have a rate. Repeated rows get equal answers.
+    Null texts are empty: they have no tokens and count for nothing, but have a rate. Repeated rows get equal answers. An
+    empty table gives an empty result. A text of any length is read whole, as one row of features.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members, tokens, shares = with_posteriors(docs, model)

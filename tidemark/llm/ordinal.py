@@ -209,6 +209,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -
     """doc_id, held_out, severity (expected grade), probability (of a grade above 0) and toxic (0 or 1) of every row.
 
     Null and empty texts have no features and get what the thresholds alone say. Without toxic labels nothing is toxic.
+    Repeated rows get equal answers each; an empty table gives an empty result.
     """
     usable = crc_remainder("doc_id", 4) != 2 if usable is None else usable
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -168,7 +168,8 @@ def usable(column: str = "doc_id") -> Column:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from a score of 0.7) of every row of ``docs``.
 
-    Without any labelled document every document is taken as good. Repeated rows get equal answers each.
+    Without any labelled document every document is taken as good. Null and empty texts are scored alike. Repeated rows
+    get equal answers each; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = scores(docs, train(docs, labels, usable()))

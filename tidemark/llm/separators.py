@@ -77,16 +77,16 @@ def block_counts(spark: SparkSession, path: str, end_id: int, block_bytes: int =
                 ids = np.frombuffer(content, "<u2")
                 ends = np.flatnonzero(ids == end_id)
                 some = len(ends) > 0
-                result = {
-                    "file": row["file"],
-                    "block": row["block"],
-                    "n_tokens": len(ids),
-                    "n_ends": len(ends),
-                    "head": int(ends[0]) if some else len(ids),
-                    "tail": int(len(ids) - 1 - ends[-1]) if some else len(ids),
-                    "inner": [{"at": int(a) + 1, "n": int(b - a) - 1} for a, b in zip(ends[:-1], ends[1:], strict=True)],
-                }
-                yield pa.RecordBatch.from_pylist([result], schema=kinds)
+                own = [
+                    *(row["file"], row["block"], len(ids), len(ends)),
+                    int(ends[0]) if some else len(ids),
+                    int(len(ids) - 1 - ends[-1]) if some else len(ids),
+                ]
+                between = [pa.array(ends[:-1] + 1, pa.int64()), pa.array(np.diff(ends) - 1, pa.int64())]
+                between = pa.StructArray.from_arrays(between, fields=list(kinds.field("inner").type.value_type))
+                inner = pa.ListArray.from_arrays(pa.array([0, len(between)], pa.int32()), between)
+                columns = [pa.array([x], kind) for x, kind in zip(own, kinds.types, strict=False)]
+                yield pa.RecordBatch.from_arrays([*columns, inner], schema=kinds)
 
     kinds = pa.schema(
         [("file", pa.string()), ("block", pa.int64()), *[(c, pa.int64()) for c in ("n_tokens", "n_ends", "head", "tail")]]
@@ -158,7 +158,11 @@ def document_counts(blocks: DataFrame, span_blocks: int = SPAN_BLOCKS) -> DataFr
 def token_counts(
     docs: DataFrame, ranks: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, file, ordinal, start, n_tokens of every row of ``docs``, counted in the files that it is written to."""
+    """doc_id, file, ordinal, start, n_tokens of every row of ``docs``, counted in the files that it is written to.
+
+    Null and empty texts have no tokens. Repeated rows are documents of their own, each with its place; null ids stay
+    null. An empty table gives an empty result.
+    """
     spark = docs.sparkSession
     path = folder(spark, "token-files")
     named = write_token_files(docs, path, ranks, end_id, id_col, text_col)

@@ -120,7 +120,7 @@ def top_k(
     Candidates are all rows with another id than the query's. Vectors that are null or hold a null or non-finite
     component, and rows without an id, take no part. A vector shorter than another counts as 0 where it has nothing.
     Rows repeated with one id are candidates each; as queries they give one answer, that of the first by its vector.
-    Products of components, and scores, must fit 64 bits.
+    Products of components, and scores, must fit 64 bits. Without queries or candidates the result is empty.
     """
     ship(vectors.sparkSession)
     rows = vectors.select(
