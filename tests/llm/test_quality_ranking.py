@@ -49,3 +49,22 @@ def test_only_pairs_of_both_kinds_teach():
     model = ranking.fit(x, np.arange(10) < 5)
     assert (model.score(x[:5]) >= ranking.CUT).all() and (model.score(x[5:]) < ranking.CUT).all()
     assert (ranking.fit(x, np.zeros(10, bool)).score(x) < ranking.CUT).all()
+
+
+def test_weights_equal_those_of_plain_descent():
+    """The same pairs, taken down the same loss by small steps; the loss has one minimum."""
+    rng = np.random.default_rng(4)
+    x = np.zeros((60, ranking.FEATURES))
+    x[:, 8:12], x[:, ranking.KINDS] = rng.normal(size=(60, 4)), 9
+    good = x[:, 8] + 0.7 * rng.normal(size=60) > 0
+    model = ranking.fit(x, good, pairs=300, ridge=1e-2)
+    rng = np.random.default_rng(7)
+    z = model.standard(x)
+    difference = z[rng.choice(np.flatnonzero(good), 300)] - z[rng.choice(np.flatnonzero(~good), 300)]
+    weights = np.zeros(ranking.FEATURES)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-difference @ weights))
+        weights -= 0.2 * (difference.T @ (p - 1) / 300 + 1e-2 * weights)
+    assert np.allclose(model.weights, weights, atol=1e-5)
+    raw = z @ weights
+    assert (raw > model.threshold).sum() == good.sum()
