@@ -68,3 +68,38 @@ def test_weights_equal_those_of_plain_descent():
     assert np.allclose(model.weights, weights, atol=1e-5)
     raw = z @ weights
     assert (raw > model.threshold).sum() == good.sum()
+
+
+def _stored(spark, x, good, tmp_path, parts):
+    rows = [(int(g), bytearray(np.ascontiguousarray(v).tobytes())) for v, g in zip(x, good, strict=True)]
+    spark.createDataFrame(rows, "quality int, x binary").repartition(parts).write.parquet(str(tmp_path / str(parts)))
+    return spark.read.parquet(str(tmp_path / str(parts)))
+
+
+def test_all_pairs_teach_without_being_formed(spark, tmp_path):
+    """The weights of the distributed passes are those of all pairs, one by one; the threshold is an exact quantile."""
+    rng = np.random.default_rng(5)
+    x = np.zeros((400, ranking.FEATURES))
+    x[:, 8:14], x[:, ranking.KINDS] = rng.normal(size=(400, 6)), rng.uniform(4, 9, 400)
+    x[0, 13] = 400  # far out
+    good = x[:, 8] - 0.5 * x[:, 9] + 0.7 * rng.normal(size=400) > -0.8
+    plain = ranking.fit(x, good)
+    for parts in (1, 5):
+        model = ranking.fit_all(_stored(spark, x, good, tmp_path, parts))
+        assert np.allclose(model.mean, plain.mean) and np.allclose(model.scale, plain.scale)
+        assert np.allclose(model.weights, plain.weights, atol=2e-3)
+        raw = np.sort(model.raw(x))
+        at = int((~good).sum())
+        assert model.threshold == (raw[at - 1] + raw[at]) / 2
+    assert (ranking.fit_all(_stored(spark, x[:2] * 0, [False, False], tmp_path, 2)).score(x) < ranking.CUT).all()
+
+
+def test_every_labelled_document_teaches(spark):
+    """The only bad documents are the last 500 by a hash of their ids: they count beyond any 20,000 labels."""
+    n, last = 20_500, queries.F.xxhash64("doc_id")
+    labels = spark.range(4 * n).select(queries.F.col("id").alias("doc_id")).where(ranking.usable()).limit(n)
+    bad = [r.doc_id for r in labels.orderBy(last.desc(), queries.F.desc("doc_id")).limit(500).collect()]
+    labels = labels.withColumn("quality", (~queries.F.col("doc_id").isin(bad)).cast("int"))
+    text = queries.F.expr("if(quality = 1, 'Plain words, number ', '### @@ ') || doc_id")
+    rows = ranking.quality(labels.select("doc_id", text.alias("text")), labels).collect()
+    assert len(rows) == n and {r.doc_id for r in rows if not r.predicted} == set(bad)
