@@ -219,3 +219,22 @@ def test_footers_give_counts_and_bounds_without_reading_rows(spark, tmp_path):
     one = [("day", 3, None, None, d("2023-01-02"), d("2024-01-02")), ("i", 3, 1.0, 5.0, None, None), ("x", 3, -2.5, 0.5, None, None)]
     assert rows(out) == [(t, *r) for t in ("nulls", "whole") for r in one]
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_rows_of_a_bucket_do_not_grow_with_the_table(spark, tmp_path):
+    """The stored usage has as many buckets as its rows ask for; one task each writes and joins it."""
+    import __spark_entry__ as entry
+
+    assert [layout.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
+    made = []
+
+    def publish(df, name, path, key, buckets, sort_by=(), real=layout.publish_buckets):
+        made.append(buckets)
+        return real(df, name, path, key, buckets, sort_by)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(layout, "BUCKET_ROWS", 500)
+        patch.setattr(layout, "publish_buckets", publish)
+        entry.queries()["snk_buckets_usage"](spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert made == [-(-lines // 500)] * 2 and made[0] > 8

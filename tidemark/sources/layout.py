@@ -12,6 +12,14 @@ from pyspark.sql.types import ByteType, DateType, DoubleType, FloatType, Integer
 BOUNDED = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DateType)
 
 
+BUCKET_ROWS = 500_000  # a task writes, sorts and joins one bucket
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """How many buckets hold a table of ``rows`` rows, so that no task's share grows with the table."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def publish_buckets(df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """Store a table in ``buckets`` files by the hash of ``key``, sorted by key and ``sort_by``, and read it by its name.
 

@@ -163,7 +163,8 @@ def portal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def usage_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage_daily(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """With ``parts`` lines meet their orders in so many tasks, which is to grow with the table; else Spark decides."""
     calls = F.col("l_quantity").cast("int") % 5
     # the usage day is a fixed number of days before the subscription's end, so lines roll up before the join
     rolled = (
@@ -181,6 +182,8 @@ def usage_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = distinct_subscriptions(spark, sf_dir).select(
         "subscription_id", F.coalesce("cancelled_date", F.lit(AS_OF)).alias("last_day")
     )
+    if parts:
+        rolled, ends = (side.repartition(parts, "subscription_id") for side in (rolled, ends))
     return rolled.join(ends, "subscription_id").select(
         "subscription_id",
         F.date_sub("last_day", F.col("days_back")).alias("usage_date"),
@@ -190,6 +193,11 @@ def usage_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def usage_lines(spark: SparkSession, sf_dir: str) -> int:
+    """The number of line items, from the file footers: usage has no more rows."""
+    return _read(spark, sf_dir, "lineitem").count()
+
+
 RAW_TABLES = {
     "customers": customers,
     "subscriptions": subscriptions,
