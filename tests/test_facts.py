@@ -1,5 +1,6 @@
 from helpers import d, rows, subscription, subscriptions
 
+from tidemark.plans import facts
 from tidemark.plans.facts import churn_denominator, churn_metrics, churn_numerator, subscription_monthly
 from tidemark.plans.lifecycle import subscription_lifecycle
 
@@ -100,3 +101,40 @@ def test_any_number_of_months_in_one_plan(spark):
 def test_an_end_before_the_start_counts_nowhere_but_as_churn(spark):
     out = by_month(churn_metrics(lifecycle(spark, cancelled(1, "2023-05-03", "2023-02-10")), TODAY))
     assert {m.month: row[:3] for m, row in out.items() if any(row[:3])} == {2: (0, 1, 1)}
+
+
+def test_months_unfolded_from_blocks_are_those_of_the_fact(spark):
+    """Spans within a block, over its edges, over many blocks, reversed ones, open ones and repeated rows."""
+    days = ["2014-12-31", "2023-12-01", "2023-12-31", "2024-01-01", "2024-01-20", "2024-02-29", None]
+    spans = [(i, go, end) for i, (go, end) in enumerate((g, e) for g in days for e in days)]
+    given = [(i % 40, 7, "voip", "p", 12, "active", d(g) if g else None, d(e) if e else None, 1.5) for i, g, e in spans]
+    schema = (
+        "subscription_id long, customer_id long, product_type string, plan string, contract_term_months long, "
+        "lifecycle_state string, go_live_date date, cancelled_date date, mrr double"
+    )
+    lifecycle = spark.createDataFrame(given, schema)
+    blocks = facts.monthly_blocks(lifecycle, TODAY)
+    plain = facts.subscription_monthly(lifecycle, TODAY)
+    assert facts.unfolded(blocks).schema == plain.schema
+    assert rows(facts.unfolded(blocks)) == rows(plain)
+    assert blocks.count() < plain.count() / 3
+
+
+def test_stored_months_move_as_blocks(spark, tmp_path):
+    """The write shuffles rows of blocks, and the months come behind it; the session's setting is as before."""
+    from tidemark.plans import stored
+
+    given = spark.range(2_000).selectExpr(
+        "id AS subscription_id", "id % 7 AS customer_id", "'voip' AS product_type", "'p' AS plan", "12L AS contract_term_months",
+        "'active' AS lifecycle_state", "date_add(date'2020-01-01', cast(id % 900 as int)) AS go_live_date",
+        "CAST(NULL AS date) AS cancelled_date", "1.5D AS mrr",
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    got = stored.monthly_through_table(given, TODAY, str(tmp_path / "t"))
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+    plain = facts.subscription_monthly(given, TODAY)
+    assert rows(got.select(plain.columns)) == rows(plain)
+    dealt = facts.unfolded(facts.monthly_blocks(given, TODAY).hint("rebalance", "_block"))
+    text = dealt._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("RebalancePartitions")
+    assert "_offset" in above and "_offset" not in below and "_block" in below

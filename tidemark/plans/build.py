@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.snapshot import load
-from tidemark.plans import facts, indicators, lifecycle, staging
+from tidemark.plans import facts, indicators, lifecycle, staging, stored
 from tidemark.sources.layout import publish_buckets
 from tidemark.sources.tables import (
     history_schema,
@@ -76,12 +76,7 @@ def build(
         usage = publish_buckets(indicators.daily_usage(usage), f"usage_{run}", f"{place}/usage", key, buckets, ("usage_date",))
 
     marts = {
-        "subscription_monthly": publish_table(
-            facts.subscription_monthly(states, as_of),
-            f"{root}/marts/subscription_monthly",
-            partition_by="activity_month",
-            sort_by=("subscription_id",),
-        ),
+        "subscription_monthly": stored.publish_monthly(states, as_of, f"{root}/marts/subscription_monthly"),
         "churn_metrics": publish_table(facts.churn_metrics(states, as_of), f"{root}/marts/churn_metrics"),
         "leading_indicator_scan": publish_table(
             indicators.leading_indicator_scan(

@@ -12,6 +12,9 @@ from tidemark.functions.rates import compounded_percent, percent
 from tidemark.plans.lifecycle import LIVE_STATES, live_subscriptions
 
 
+MONTHLY = ["subscription_id", "customer_id", "product_type", "plan", "contract_term_months", "lifecycle_state"]
+
+
 def subscription_monthly(lifecycle: DataFrame, as_of: date) -> DataFrame:
     """One row per live subscription and month, from go-live up to and including the month of cancellation, or today's.
 
@@ -20,11 +23,40 @@ def subscription_monthly(lifecycle: DataFrame, as_of: date) -> DataFrame:
     length = months_apart(F.col("go_live_date"), F.coalesce("cancelled_date", day(as_of)))
     # the test is part of the expression, as sequence counts downwards for a reversed span
     offsets = F.when(length >= 0, F.sequence(F.lit(0), length))
-    columns = ["subscription_id", "customer_id", "product_type", "plan", "contract_term_months", "lifecycle_state"]
     return (
         live_subscriptions(lifecycle)
-        .select(*columns, month_start(F.col("go_live_date")).alias("_first"), F.explode(offsets).alias("_offset"), "mrr")
-        .select(*columns, F.add_months("_first", F.col("_offset")).alias("activity_month"), "mrr")
+        .select(*MONTHLY, month_start(F.col("go_live_date")).alias("_first"), F.explode(offsets).alias("_offset"), "mrr")
+        .select(*MONTHLY, F.add_months("_first", F.col("_offset")).alias("activity_month"), "mrr")
+    )
+
+
+BLOCK = 4  # months of one subscription that move as one row
+
+
+def monthly_blocks(lifecycle: DataFrame, as_of: date) -> DataFrame:
+    """``subscription_monthly`` before its months are unfolded: a row per live subscription and block of BLOCK calendar months.
+
+    ``_block`` numbers the blocks; a row has the months from ``_first`` on, ``_length`` of them after it, that lie in its block.
+    """
+    length = months_apart(F.col("go_live_date"), F.coalesce("cancelled_date", day(as_of)))
+    blocks = F.sequence(F.floor(_month_number("_first") / BLOCK), F.floor((_month_number("_first") + F.col("_length")) / BLOCK))
+    return (
+        live_subscriptions(lifecycle)
+        .select(*MONTHLY, month_start(F.col("go_live_date")).alias("_first"), length.cast("int").alias("_length"), "mrr")
+        .select("*", F.explode(F.when(F.col("_length") >= 0, blocks).cast("array<int>")).alias("_block"))
+    )
+
+
+def _month_number(column: str) -> Column:
+    return F.year(column) * 12 + F.month(column) - 1
+
+
+def unfolded(blocks: DataFrame) -> DataFrame:
+    """The rows of ``subscription_monthly`` that those of ``monthly_blocks`` stand for."""
+    ahead = F.col("_block") * BLOCK - _month_number("_first")  # months from the first one to the block
+    offsets = F.sequence(F.greatest(ahead, F.lit(0)), F.least(ahead + (BLOCK - 1), F.col("_length")))
+    return blocks.select("*", F.explode(offsets).alias("_offset")).select(
+        *MONTHLY, F.add_months("_first", F.col("_offset")).alias("activity_month"), "mrr"
     )
 
 

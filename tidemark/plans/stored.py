@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.snapshot import load
-from tidemark.plans import indicators, staging
+from tidemark.plans import facts, indicators, staging
 from tidemark.sources import layout, tables
 
 
@@ -60,10 +60,16 @@ def through_view(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.table(name)
 
 
-def through_table(rows: DataFrame, folder: str, partition_by: str, sort_by: tuple[str, ...]) -> DataFrame:
-    """A mart as the newest version of a partitioned table."""
-    tables.publish_table(rows, folder, partition_by, sort_by)
-    return tables.current_table(rows.sparkSession, folder)
+def monthly_through_table(lifecycle: DataFrame, as_of: date, folder: str) -> DataFrame:
+    """The monthly fact as the newest version of a partitioned table."""
+    publish_monthly(lifecycle, as_of, folder)
+    return tables.current_table(lifecycle.sparkSession, folder)
+
+
+def publish_monthly(lifecycle: DataFrame, as_of: date, path: str) -> DataFrame:
+    """Store the monthly fact by month. Its rows are unfolded behind the shuffle, which moves one for each block of months."""
+    blocks = facts.monthly_blocks(lifecycle, as_of)
+    return tables.publish_table(blocks, path, "activity_month", ("subscription_id",), "_block", facts.unfolded)
 
 
 def stored_history(spark: SparkSession, name: str, loads: list[tuple[DataFrame, datetime]], folder: str) -> DataFrame:
