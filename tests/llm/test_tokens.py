@@ -1,12 +1,14 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import queries, separators, wavelet
+from tidemark.llm import encoding, queries, separators, wavelet
 from tidemark.llm.encoding import byte_tokenizer
 
 ODD = [
@@ -49,6 +51,47 @@ def test_no_documents(spark):
     assert separators.token_counts(empty, queries.BYTE_RANKS, queries.END_OF_TEXT).collect() == []
 
 
+def check_encoder(encoder, texts):
+    plain = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    flat, counts = encoder.encode(pa.array(texts, pa.string()))
+    assert counts.tolist() == [len(x) for x in want]
+    assert flat.tolist() == sum(want, [])
+
+
+@pytest.mark.parametrize("kept", [0, 400_000])
+def test_any_mix_of_pieces_equals_the_library(monkeypatch, kept):
+    monkeypatch.setattr(encoding, "KEPT", kept)
+    monkeypatch.setattr(encoding, "TOGETHER", 7)
+    signs = ["e", "z", "é", "ß", "ÿ", "÷", "×", "É", "µ", "E", "\u0301", "ł", "名", "3", "~", "~", ".", "'s", "`", "\x00", "\x7f", "\u2028", " ", " ", "\n"]
+    signs += ["<|endoftext|>", "<|", "\u1fef", "\u212a", "\u0345", "\u00ad", "\ufffe", "\U0001f600"]
+    dice, encoder = random.Random(5), encoding.WordTokenizer(queries.WORD_TOKENIZER)
+    for size in (0, 1, 40):
+        for _ in range(60):
+            check_encoder(encoder, ["".join(dice.choices(signs, k=dice.randrange(30))) for _ in range(size)])
+    check_encoder(encoder, [None, encoding.LETTERS, encoding.LETTERS.upper(), "".join(map(chr, range(0x250)))])
+
+
+def test_few_texts_go_through_the_whole_tokenizer():
+    """Words of Latin letters need only its vocabulary, and other pieces share a text."""
+    encoder, given = encoding.WordTokenizer(queries.WORD_TOKENIZER), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.model, self.tokenizer = tokenizer.model, tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    letters = ["".join("éèßaou"[i // 6**k % 6] for k in range(4)) for i in range(1_000)]
+    check_encoder(encoder, [" ".join(letters)])
+    assert not any(given)
+    check_encoder(encoder, [" ".join(f"{x}@{i}" for i, x in enumerate(letters))])
+    assert len(given) < 10
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 70_000), max_size=1500), st.integers(0, 2**32 - 1))
 def test_wavelet_matrix(ids, seed):
