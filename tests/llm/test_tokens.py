@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import encoding, queries, separators, wavelet
+from tidemark.llm import encoding, queries, scoring, separators, wavelet, words
 from tidemark.llm.encoding import byte_tokenizer
 
 ODD = [
@@ -72,6 +72,22 @@ def test_any_mix_of_pieces_equals_the_library(monkeypatch, kept):
     check_encoder(encoder, [None, encoding.LETTERS, encoding.LETTERS.upper(), "".join(map(chr, range(0x250)))])
 
 
+def test_words_as_python_objects():
+    given = [b"a", b"", b"\x00b\x00", "é".encode(), b"a"]
+    assert words.listed(pa.array(given, pa.binary())) == given
+    assert words.listed(pa.array(given, pa.binary()).slice(1, 2)) == given[1:3]
+    assert words.listed(pa.array([], pa.binary())) == []
+
+
+@pytest.mark.parametrize("kept", [0, 400_000])
+def test_subwords_of_words(monkeypatch, kept):
+    monkeypatch.setattr(scoring, "KEPT", kept)
+    known, encoder = scoring.Subwords(queries.BYTE_RANKS), byte_tokenizer(queries.BYTE_RANKS)
+    for some in ([], [b"the", b"\xff", b"unquestionably"], [b"cat", b"the", b"\xc3"], [b"the", b"cat"]):
+        found = [np.frombuffer(x, np.int32).tolist() for x in known.of(some)]
+        assert found == [encoder.encode_ordinary(" " + x.decode(errors="replace")) for x in some]
+
+
 def test_few_texts_go_through_the_whole_tokenizer():
     """Words of Latin letters need only its vocabulary, and other pieces share a text."""
     encoder, given = encoding.WordTokenizer(queries.WORD_TOKENIZER), []
