@@ -80,3 +80,62 @@ def test_blocks_are_left_out_and_results_are_exact(spark, monkeypatch):
         every = vectors[:20_000] @ vectors[q]
         best = [j for j in np.lexsort((ids[:20_000], -every)) if j != q][:10]
         assert sorted(got[q]) == [(n, int(j), int(every[j])) for n, j in enumerate(best, 1)]
+
+
+def test_neither_side_is_copied_or_sent_through_the_driver(spark):
+    """Every group of queries was copied for every shard, and Spark, which did not count the copies, broadcast them all."""
+    rows = [(i, [float(i % 7), float(-i % 5)]) for i in range(600)]
+    df = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, 3, shard=10)
+    assert sorted(tuple(r) for r in df.collect()) == plain(rows, 3)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan
+    assert not [step for step in ("Broadcast", "Generate", "SortMergeJoin", "ShuffledHashJoin") if step in plan]
+
+
+def test_values_take_the_bits_they_need(spark):
+    for most, width in ((32_767, 2), (-32_769, 4), (1 << 40, 8)):
+        df = spark.createDataFrame([(1, [1, most]), (2, [3])], "id long, v array<long>").coalesce(1)
+        row = topk.packed(df, 10).collect()[0]
+        assert len(row["values"]) == 3 * width
+        assert topk.unpacked(*row)[1].tolist() == [[1, most], [3, 0]]
+    empty = topk.packed(spark.createDataFrame([(1, [])], "id long, v array<long>"), 10).collect()[0]
+    assert topk.unpacked(*empty)[1].shape == (1, 0)
+
+
+def best_of_shards(queries, vectors, ids, k, size, block):
+    best = topk.nothing_yet(len(queries), k)
+    for start in range(0, len(ids), size):
+        shard = topk.shard_of(ids[start : start + size], vectors[start : start + size], block)
+        topk.search_shard(ids[queries], vectors[queries], shard, *best)
+    return best
+
+
+def test_scores_of_any_size_and_ties_are_exact_over_many_shards():
+    """Products that fit 24 bits, 53 and 63, bounds that fit no longer, and rows that are equal many times."""
+    rng = np.random.default_rng(2)
+    for most in (2, 400, 1 << 14, 1 << 22, 1 << 30):
+        vectors, ids = rng.integers(-most, most, (700, 8)), rng.permutation(900)[:700]
+        vectors[rng.integers(0, 700, 300)] = vectors[:3].repeat(100, axis=0)
+        ids[-20:] = ids[:20]  # rows repeated with one id
+        queries = np.unique(ids, return_index=True)[1][::9]
+        names, scores = best_of_shards(queries, vectors, ids, 12, 150, 16)
+        for i, q in enumerate(queries):
+            exact = [(-sum(int(a) * int(b) for a, b in zip(vectors[q], v)), int(j)) for v, j in zip(vectors, ids) if j != ids[q]]
+            assert list(zip((-scores[i]).tolist(), names[i].tolist())) == sorted(exact)[:12]
+
+
+def test_the_k_best_carry_over_to_the_next_shard(monkeypatch):
+    """Once the first shard holds the longest vectors, the bounds of later blocks leave them out for all queries."""
+    rng = np.random.default_rng(1)
+    vectors = np.floor(1024 * rng.normal(size=(40_000, 8)) * np.exp(-np.arange(40_000) / 4_000)[:, None]).astype(np.int64)
+    queries, pairs, products = np.arange(0, 40_000, 1_000), [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda q, v: pairs.append(len(q) * len(v) if len(v) == 50 else 0) or products(q, v))
+    names, scores = best_of_shards(queries, vectors, np.arange(40_000), 10, 4_000, 50)
+    carried, pairs[:] = sum(pairs), []
+    for start in range(0, 40_000, 4_000):
+        topk.best_of_shard(queries, vectors[queries], np.arange(start, start + 4_000), vectors[start : start + 4_000], 10, 50)
+    assert carried < sum(pairs) / 2 and carried < 40 * 40_000 / 4
+    for i, q in enumerate(queries):
+        every = vectors @ vectors[q]
+        best = [j for j in np.lexsort((np.arange(40_000), -every)) if j != q][:10]
+        assert names[i].tolist() == best and scores[i].tolist() == every[best].tolist()
